@@ -14,8 +14,8 @@ HASHTAG_PATTERN = r"(#\w+)"
 # part, with at least two units and the last one a bracketed part or no trailing mark. Every unit
 # is told by its first character, so the same language reads without backtracking: one unit, then
 # blocks of marks closed by plain characters or a bracketed part. Possessive repeats also keep the
-# matcher's stack flat on long texts.
-_HEAD = r"(?:[a-z][\w-]++:(?:\/{1,3}|[a-z0-9%])|www\d{0,3}[.]|[a-z0-9.\-]+[.][a-z]{2,4}\/)"
+# matcher's stack flat on long texts, and the look ahead for the slash spares words that have none.
+_HEAD = r"(?:[a-z][\w-]++:(?:\/{1,3}|[a-z0-9%])|www\d{0,3}[.]|(?=[a-z0-9.\-]++\/)[a-z0-9.\-]+[.][a-z]{2,4}\/)"
 _BRACKETED = r"\((?:[^\s()<>]++|\([^\s()<>]++\))*+\)"
 _MARK = r"""[`!\[\]{};:'".,?«»“”‘’]"""
 _PLAIN = r"""[^\s`!()\[\]{};:'".,<>?«»“”‘’]"""

@@ -1,4 +1,4 @@
-"""Suffix stemming as Catalyst expressions, so tokens never leave the JVM.
+"""Suffix stemming as one Spark SQL expression, so tokens never leave the JVM.
 
 The rules look at the word as vowels and consonants. A ``y`` is a vowel exactly when the letter
 after it is a consonant, which makes all conditions on a stem plain regular expressions:
@@ -8,6 +8,9 @@ after it is a consonant, which makes all conditions on a stem plain regular expr
 * consonant, vowel other than y, consonant at the end.
 
 Only the number of vowel-consonant steps needs the y's resolved first.
+
+The expression is assembled as SQL text: a few hundred nodes parse in a moment, while building
+them one Column call at a time takes longer than many queries run.
 """
 
 from __future__ import annotations
@@ -17,8 +20,6 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from postlark.functions.text import bind
-
 # Suffixes and what replaces them, in the order they are tried.
 PLURALS = [("sses", "ss"), ("ies", "i"), ("ss", "ss"), ("s", "")]
 PARTICIPLES = ["ed", "ing"]
@@ -48,143 +49,118 @@ _VOWEL_Y = r"y(?=(?:yy)*+[^aeiouy])|y(?=y(?:yy)*+(?:[aeiou]|\z))"
 _CVC_END = r"[^aeiou][aeiou][^aeiou]\z"
 _DOUBLE_END = r"([^aeiou\x{10000}-\x{10FFFF}])\1\z"
 
-Condition = Callable[[Column], Column]
+Condition = Callable[[str], str]
 
 
-def _has_vowel(stem: Column) -> Column:
-    return stem.rlike(_SOME_VOWEL)
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, evaluated once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def _measure(stem: Column) -> Column:
-    """Number of vowel-consonant steps."""
-    resolved = F.when(
-        F.contains(stem, F.lit("y")), F.regexp_replace(stem, _VOWEL_Y, "a")
-    ).otherwise(stem)
-    return F.regexp_count(resolved, F.lit(_STEP))
+def _matches(word: str, pattern: str) -> str:
+    return f"{word} RLIKE r'{pattern}'"
 
 
-def _m_over_0(stem: Column) -> Column:
-    return stem.rlike(_SOME_STEP)
+def _ends(word: str, suffix: str) -> str:
+    return f"endswith({word}, '{suffix}')"
 
 
-def _m_over_1(stem: Column) -> Column:
-    # Every step takes two letters, so short stems need no count.
-    return (F.length(stem) > 3) & (_measure(stem) > 1)
+def _cut(word: str, letters: int) -> str:
+    return f"left({word}, length({word}) - {letters})"
+
+
+def _has_vowel(stem: str) -> str:
+    return _matches(stem, _SOME_VOWEL)
 
 
-def _double_end(stem: Column) -> Column:
-    return stem.rlike(_DOUBLE_END)
+def _measure(stem: str) -> str:
+    """Number of vowel-consonant steps."""
+    resolved = f"if(contains({stem}, 'y'), regexp_replace({stem}, r'{_VOWEL_Y}', 'a'), {stem})"
+    return f"regexp_count({resolved}, r'{_STEP}')"
 
 
-def _cvc_end(stem: Column) -> Column:
-    return stem.rlike(_CVC_END)
+def _m_over_0(stem: str) -> str:
+    return _matches(stem, _SOME_STEP)
 
 
-def _without(word: Column, letters: int) -> Column:
-    return F.left(word, F.length(word) - letters)
+def _m_over_1(stem: str) -> str:
+    # Every step takes two letters, so short stems need no count.
+    return f"(length({stem}) > 3 AND {_measure(stem)} > 1)"
 
 
-def _replace_first(word: Column, rules: Iterable[tuple[str, str, Condition | None]]) -> Column:
-    """Apply the first rule whose suffix and condition on the rest both hold.
+def _replace_first(rules: Iterable[tuple[str, str, Condition | None]]) -> str:
+    """Apply to ``w`` the first rule whose suffix and condition on the rest both hold.
 
     Most words end like none of the rules; one look at the last letters spares them the list.
     """
     rules = list(rules)
     known = min([2] + [len(suffix) for suffix, _, _ in rules])
-    chain = F.when(~F.right(word, F.lit(known)).isin(sorted({r[0][-known:] for r in rules})), word)
+    last = ", ".join(f"'{e}'" for e in sorted({suffix[-known:] for suffix, _, _ in rules}))
+    cases = [f"WHEN right(w, {known}) NOT IN ({last}) THEN w"]
     for suffix, replacement, condition in rules:
-        rest = _without(word, len(suffix))
-        test = F.endswith(word, F.lit(suffix))
-        if condition is not None:
-            test = test & condition(rest)
-        chain = chain.when(test, F.concat(rest, F.lit(replacement)) if replacement else rest)
-    return chain.otherwise(word)
-
+        rest = _cut("w", len(suffix))
+        test = _ends("w", suffix) + (f" AND {condition(rest)}" if condition else "")
+        cases.append(f"WHEN {test} THEN " + (f"{rest} || '{replacement}'" if replacement else rest))
+    return f"CASE {' '.join(cases)} ELSE w END"
 
-def _plural(word: Column) -> Column:
-    return _replace_first(word, [(s, r, None) for s, r in PLURALS])
 
-
-def _participle(word: Column) -> Column:
-    chopped = F.coalesce(
-        *[
-            F.when(F.endswith(word, F.lit(s)) & _has_vowel(_without(word, len(s))),
-                   _without(word, len(s)))
-            for s in PARTICIPLES
-        ]
-    )
-    ends_d_or_g = F.endswith(word, F.lit("d")) | F.endswith(word, F.lit("g"))
-    repaired = bind(
-        chopped, lambda c: F.when(c.isNotNull(), _repair(c)).otherwise(
-            _replace_first(word, [("eed", "ee", _m_over_0)])
-        )
+def _participle() -> str:
+    stripped = " ".join(
+        f"WHEN {_ends('w', s)} AND {_has_vowel(_cut('w', len(s)))} THEN {_cut('w', len(s))}"
+        for s in PARTICIPLES
     )
-    return F.when(ends_d_or_g, repaired).otherwise(word)
+    untouched = _replace_first([("eed", "ee", _m_over_0)])
+    repaired = _let("c", f"CASE {stripped} END", f"if(c IS NULL, {untouched}, {_repair('c')})")
+    return f"if(right(w, 1) IN ('d', 'g'), {repaired}, w)"
 
 
-def _repair(stem: Column) -> Column:
-    chain = F
-    for suffix, replacement in AFTER_PARTICIPLE:
-        chain = chain.when(
-            F.endswith(stem, F.lit(suffix)),
-            F.concat(_without(stem, len(suffix)), F.lit(replacement)),
-        )
+def _repair(stem: str) -> str:
+    completed = " ".join(
+        f"WHEN {_ends(stem, s)} THEN {_cut(stem, len(s))} || '{r}'" for s, r in AFTER_PARTICIPLE
+    )
     return (
-        chain.when(_double_end(stem) & ~stem.rlike(r"[lsz]\z"), _without(stem, 1))
-        .when(_cvc_end(stem) & (_measure(stem) == 1), F.concat(stem, F.lit("e")))
-        .otherwise(stem)
+        f"CASE {completed} "
+        f"WHEN {_matches(stem, _DOUBLE_END)} AND right({stem}, 1) NOT IN ('l', 's', 'z') "
+        f"THEN {_cut(stem, 1)} "
+        f"WHEN {_matches(stem, _CVC_END)} AND {_measure(stem)} = 1 THEN {stem} || 'e' "
+        f"ELSE {stem} END"
     )
 
 
-def _final_y(word: Column) -> Column:
-    return _replace_first(word, [("y", "i", _has_vowel)])
+def _ending_condition(suffix: str) -> Condition:
+    if suffix == "ion":
+        return lambda rest: f"right({rest}, 1) IN ('s', 't') AND {_m_over_1(rest)}"
+    return _m_over_1
 
 
-def _double_suffix(word: Column) -> Column:
-    return _replace_first(word, [(s, r, _m_over_0) for s, r in DOUBLE_SUFFIXES])
-
-
-def _single_suffix(word: Column) -> Column:
-    return _replace_first(word, [(s, r, _m_over_0) for s, r in SINGLE_SUFFIXES])
-
-
-def _ending(word: Column) -> Column:
-    def condition(suffix: str) -> Condition:
-        if suffix == "ion":
-            return lambda rest: rest.rlike(r"[st]\z") & _m_over_1(rest)
-        return _m_over_1
-
-    return _replace_first(word, [(s, "", condition(s)) for s in ENDINGS])
-
-
-def _final_e(word: Column) -> Column:
-    def drops(rest: Column) -> Column:
-        return bind(
-            _measure(rest), lambda m: (m > 1) | ((m == 1) & ~_cvc_end(rest))
-        )
-
-    return _replace_first(word, [("e", "", drops)])
-
-
-def _final_double_l(word: Column) -> Column:
-    return F.when(
-        F.endswith(word, F.lit("ll")) & _m_over_1(word), _without(word, 1)
-    ).otherwise(word)
+def _drops_final_e(rest: str) -> str:
+    return _let("m", _measure(rest), f"m > 1 OR (m = 1 AND NOT {_matches(rest, _CVC_END)})")
 
 
 _STEPS = (
-    _plural, _participle, _final_y, _double_suffix, _single_suffix, _ending, _final_e,
-    _final_double_l,
+    "lower(w)",
+    _replace_first([(s, r, None) for s, r in PLURALS]),
+    _participle(),
+    _replace_first([("y", "i", _has_vowel)]),
+    _replace_first([(s, r, _m_over_0) for s, r in DOUBLE_SUFFIXES]),
+    _replace_first([(s, r, _m_over_0) for s, r in SINGLE_SUFFIXES]),
+    _replace_first([(s, "", _ending_condition(s)) for s in ENDINGS]),
+    _replace_first([("e", "", _drops_final_e)]),
+    f"if({_ends('w', 'll')} AND {_m_over_1('w')}, {_cut('w', 1)}, w)",
 )
 
 
-def stem_all(items: Column) -> Column:
-    """Stem every token of an array. Each step is one pass that names its input once."""
-    stemmed = F.transform(items, F.lower)
+def _stemmed(items: str) -> str:
     for step in _STEPS:
-        stemmed = F.transform(stemmed, step)
-    return stemmed
+        items = f"transform({items}, w -> {step})"
+    return items
+
+
+def stem_all(column: str) -> Column:
+    """Stem every token of the named array column, one pass per step."""
+    return F.expr(_stemmed(f"`{column}`"))
 
 
-def stem(word: Column) -> Column:
-    return F.get(stem_all(F.array(word)), F.lit(0))
+def stem(column: str) -> Column:
+    """Stem the word in the named column."""
+    return F.expr(f"{_stemmed(f'array(`{column}`)')}[0]")

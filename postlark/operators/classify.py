@@ -72,20 +72,22 @@ class NaiveBayesTables:
             "label", "term", "log_likelihood"
         )
 
-    def predict(self, terms: DataFrame, docs: DataFrame, *keys: str) -> DataFrame:
-        """(keys, prediction) for every row of ``docs``, whose term_freq rows are ``terms``.
+    def predict(self, terms: DataFrame, docs: DataFrame, key: str) -> DataFrame:
+        """``docs`` with ``prediction``; ``terms`` are the term_freq rows of the same documents.
 
         One join on the term and one aggregation on the document. A term unknown to the model
-        weighs what a term with no occurrence weighs. On a tie the lower label wins.
+        weighs what a term with no occurrence weighs. On a tie the lower label wins. Terms
+        frequent in training are taken to be the frequent ones here; being wrong costs balance,
+        not rows.
         """
         n = range(len(self.classes))
-        counts = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n_rows"))
+        counts = self.terms.select("term", "df")
         scored = (
-            lookup(terms, self.weighted_terms().drop("df"), ["term"], keys, counts)
+            lookup(terms, self.weighted_terms().drop("df"), ["term"], [key], counts, rows="df")
             .withColumn("_t", self._totals())
             .withColumn("_known", F.col("idf").isNotNull())
             .select(
-                *keys,
+                key,
                 (
                     F.col("tf")
                     * F.when(F.col("_known"), F.col("idf")).otherwise(
@@ -99,7 +101,7 @@ class NaiveBayesTables:
                     for i in n
                 ],
             )
-            .groupBy(*keys)
+            .groupBy(key)
             .agg(*[F.sum(F.col("weight") * F.col(f"ll_{i}")).alias(f"s_{i}") for i in n])
         )
         priors = self.priors.select(
@@ -112,47 +114,41 @@ class NaiveBayesTables:
             best = F.when(score > best_score, F.lit(label)).otherwise(best)
             best_score = F.greatest(best_score, score)
         return (
-            docs.select(*keys)
-            .join(scored, list(keys), "left")
+            docs.join(scored, key, "left")
             .withColumn("_p", priors)
-            .select(*keys, best.alias("prediction"))
+            .select(*docs.columns, best.alias("prediction"))
         )
 
-    def save(self, path: str) -> None:
-        for name in ("priors", "totals", "terms"):
-            getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
-
     @classmethod
     def load(
         cls, spark: SparkSession, path: str, classes: Sequence[float] = CLASSES,
         smoothing: float = SMOOTHING,
     ) -> NaiveBayesTables:
-        read = spark.read.parquet
-        return cls(tuple(classes), smoothing, read(f"{path}/priors"), read(f"{path}/totals"),
-                   read(f"{path}/terms"))
+        priors, totals, terms = (spark.read.parquet(f"{path}/{t}") for t in ("priors", "totals", "terms"))
+        return cls(tuple(float(c) for c in classes), smoothing, priors, totals, terms)
 
 
 def train_tables(
     docs: DataFrame,
-    key: str,
+    path: str,
     label: str = "label",
     training: Column | None = None,
     classes: Sequence[float] = CLASSES,
     smoothing: float = SMOOTHING,
     dimension: int | None = None,
 ) -> NaiveBayesTables:
-    """Train on ``docs`` (key, label, tokens). IDF sees all rows, the classifier the training side.
+    """Train on ``docs`` (label, tokens) into a folder.
 
-    The weight sum of a term in a class is idf(term) times its summed tf, so idf, document
+    IDF sees all rows, the classifier the training side. The weight sum of a term in a class is idf(term) times its summed tf, so idf, document
     frequency and class sums come from one aggregation by term: no TF-IDF table is built and
-    nothing is joined. ``dimension`` is the vector size, by default the number of terms.
+    nothing is joined. The documents are read once for it. ``dimension`` is the vector size, by default the number of terms.
     """
     classes = tuple(float(c) for c in classes)
     training = F.lit(True) if training is None else training
     marked = docs.withColumn("_class", F.when(training, F.col(label).cast("double")))
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     terms = (
-        term_freq(marked, key, "_class")
+        term_freq(marked, "_class")
         .groupBy("term")
         .agg(
             F.count(F.lit(1)).alias("df"),
@@ -167,19 +163,23 @@ def train_tables(
             *[(F.col(f"tf_{i}") * F.col("idf")).alias(f"w_{i}") for i in range(len(classes))],
         )
     )
-    per_class = marked.filter(F.col("_class").isin(*classes)).groupBy(F.col("_class").alias("label")).agg(
-        F.count(F.lit(1)).alias("n_docs")
+    spark = docs.sparkSession
+    terms.write.mode("overwrite").parquet(f"{path}/terms")
+    per_class = (
+        marked.filter(F.col("_class").isin(*classes))
+        .groupBy(F.col("_class").alias("label"))
+        .agg(F.count(F.lit(1)).alias("n_docs"))
     )
     n_training = per_class.select(F.sum("n_docs")).scalar()
-    priors = per_class.withColumn(
+    per_class.withColumn(
         "log_prior",
         F.log(F.col("n_docs") + smoothing) - F.log(n_training + smoothing * len(classes)),
-    )
-    totals = terms.agg(
+    ).write.mode("overwrite").parquet(f"{path}/priors")
+    spark.read.parquet(f"{path}/terms").agg(
         (F.count(F.lit(1)) if dimension is None else F.lit(dimension)).cast("bigint").alias("dimension"),
         *[F.coalesce(F.sum(f"w_{i}"), F.lit(0.0)).alias(f"w_{i}") for i in range(len(classes))],
-    ).withColumn("n_docs", n_docs)
-    return NaiveBayesTables(classes, smoothing, priors, totals, terms)
+    ).withColumn("n_docs", n_docs).write.mode("overwrite").parquet(f"{path}/totals")
+    return NaiveBayesTables.load(spark, path, classes, smoothing)
 
 
 def accuracy(predicted: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:

@@ -12,9 +12,8 @@ from postlark.operators.joins import lookup
 
 def with_tokens(df: DataFrame, text: str = "text", out: str = "tokens", stemmed: bool = True) -> DataFrame:
     """Clean, tokenize and stem. The cleaned text is a column of its own so it is computed once."""
-    cleaned = df.withColumn("_cleaned", clean(F.col(text)))
-    items = tokens(F.col("_cleaned"))
-    return cleaned.withColumn(out, stem_all(items) if stemmed else items).drop("_cleaned")
+    split = df.withColumn("_cleaned", clean(F.col(text))).withColumn(out, tokens(F.col("_cleaned")))
+    return (split.withColumn(out, stem_all(out)) if stemmed else split).drop("_cleaned")
 
 
 def term_freq(docs: DataFrame, *keys: str, column: str = "tokens") -> DataFrame:

@@ -14,7 +14,7 @@ from postlark.operators import classify, dedup, enrich, features, filters, graph
 from postlark.operators.aggregators import flag_aggregators
 from postlark.operators.documents import retain, retention_cutoff, to_documents, write_back_scores
 from postlark.plans import jobs
-from postlark.session import scratch_path
+from postlark.session import scratch_path, stage
 from postlark.sources import corpus, messages, search, stores
 from postlark.sources.tables import history, labelled_documents, load, post_stream, posts
 from postlark.streaming import jobs as streams
@@ -151,7 +151,7 @@ def stem_tokens(spark: SparkSession, folder: str) -> DataFrame:
 def stem_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
     docs = features.with_tokens(load(spark, folder, "documents"), stemmed=False)
     distinct = docs.select(F.explode(F.array_distinct("tokens")).alias("word")).distinct()
-    return distinct.select("word", stem(F.col("word")).alias("stem"))
+    return distinct.select("word", stem("word").alias("stem"))
 
 
 @query
@@ -243,14 +243,16 @@ def _weights(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def tfidf(spark: SparkSession, folder: str) -> DataFrame:
-    terms = term_freq(spark, folder)
-    weighted = features.tfidf(terms, _weights(spark, folder), "doc_id")
+    weights = stage(_weights(spark, folder), "idf")
+    weighted = features.tfidf(term_freq(spark, folder), weights, "doc_id")
     return weighted.select("doc_id", "term", "tf", F.round("tfidf", 6).alias("tfidf"))
 
 
 def _model(spark: SparkSession, folder: str) -> classify.NaiveBayesTables:
     docs = features.with_tokens(labelled_documents(spark, folder))
-    return classify.train_tables(docs, "doc_id", training=classify.in_training(F.col("doc_id")))
+    return classify.train_tables(
+        docs, scratch_path(spark, "tables"), training=classify.in_training(F.col("doc_id"))
+    )
 
 
 @query
@@ -274,7 +276,7 @@ def nb_likelihoods(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def nb_predict(spark: SparkSession, folder: str) -> DataFrame:
-    docs = load(spark, folder, "documents")
+    docs = load(spark, folder, "documents").select("doc_id")
     return _model(spark, folder).predict(term_freq(spark, folder), docs, "doc_id")
 
 
@@ -282,7 +284,7 @@ def nb_predict(spark: SparkSession, folder: str) -> DataFrame:
 def nb_accuracy(spark: SparkSession, folder: str) -> DataFrame:
     held_out = labelled_documents(spark, folder).filter(~classify.in_training(F.col("doc_id")))
     terms = features.term_freq(features.with_tokens(held_out), "doc_id")
-    predicted = _model(spark, folder).predict(terms, held_out, "doc_id", "label")
+    predicted = _model(spark, folder).predict(terms, held_out.select("doc_id", "label"), "doc_id")
     return classify.accuracy(predicted).select(F.round("accuracy", 6).alias("accuracy"), "n")
 
 
@@ -519,9 +521,9 @@ def stream_store(spark: SparkSession, folder: str) -> DataFrame:
     """Messages in files through the whole streaming job; what the document table then holds."""
     inbox, root = scratch_path(spark, "inbox"), scratch_path(spark, "store")
     _damaged(spark, folder).select("value").dropna().write.text(inbox)
-    query = streams.start_store(
+    running = streams.start_store(
         messages.read_message_files(spark, inbox), _fitted(spark, folder), root,
         scratch_path(spark, "checkpoint"), interval=None, sites=SURROGATE_SITES,
     )
-    query.awaitTermination()
+    running.awaitTermination()
     return stores.read(spark, root, "documents").select("post_id", "tweet_id", "link", "hash", "third_party")

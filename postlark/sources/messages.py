@@ -15,14 +15,15 @@ _JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def encode_post(post: Column) -> Column:
-    """Envelope of a post struct; null stays null."""
-    return F.base64(F.encode(F.to_json(post, _JSON_OPTIONS), "UTF-8"))
+    """Envelope of a post struct, on one line; null stays null."""
+    json = F.to_json(post, _JSON_OPTIONS)
+    return F.translate(F.base64(json.cast("binary")), "\r\n", "")
 
 
 def decode_post(value: Column, schema: StructType = POST_SCHEMA) -> Column:
-    """Post struct of an envelope, null when it is no base64, no JSON or has no id."""
-    json = F.try_to_binary(value.cast("string"), F.lit("base64"))
-    post = F.from_json(F.decode(json, "UTF-8"), schema, _JSON_OPTIONS)
+    """Post struct of an envelope, null when it is no base64, no UTF-8, no JSON or has no id."""
+    payload = F.try_to_binary(value.cast("string"), F.lit("base64"))
+    post = F.from_json(F.try_validate_utf8(payload.cast("string")), schema, _JSON_OPTIONS)
     return F.when(post["id"].isNotNull(), post)
 
 
