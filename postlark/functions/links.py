@@ -24,14 +24,28 @@ LINEAR_LINK_PATTERN = (
 )
 
 
+# A run of letters, digits, dots and hyphens has a start for every part of it, and each start reads
+# to the run's end. Texts with a very long run are read with an alternative that skips a run from
+# which no link can start: none of its parts is "www" and no colon or slash follows.
+LONG_RUN = r"[\w.\-]{1000}"
+SKIPPING_LINK_PATTERN = (
+    rf"({LINEAR_LINK_PATTERN})|(?![\w.\-]*?www)[\w.\-]++(?!:[\/a-z0-9%]|\/)"
+)
+
+
 def links(text: Column) -> Column:
     """Every link of the text in order, as whole matches."""
-    return F.regexp_extract_all(text, F.lit(LINEAR_LINK_PATTERN), F.lit(0))
+    skipping = F.regexp_extract_all(text, F.lit(SKIPPING_LINK_PATTERN), F.lit(1))
+    return F.when(
+        text.rlike(LONG_RUN), F.filter(skipping, lambda link: link != "")
+    ).otherwise(F.regexp_extract_all(text, F.lit(LINEAR_LINK_PATTERN), F.lit(0)))
 
 
 def first_link(text: Column) -> Column:
-    """The first link, null when there is none; the search stops at the first match."""
-    return F.nullif(F.regexp_extract(text, LINEAR_LINK_PATTERN, 0), F.lit(""))
+    """The first link, null when there is none; mostly the search stops at the first match."""
+    return F.when(text.rlike(LONG_RUN), F.get(links(text), F.lit(0))).otherwise(
+        F.nullif(F.regexp_extract(text, LINEAR_LINK_PATTERN, 0), F.lit(""))
+    )
 
 
 def hashtags(text: Column) -> Column:

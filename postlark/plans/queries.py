@@ -430,7 +430,7 @@ def recommend(spark: SparkSession, folder: str) -> DataFrame:
 
 def _damaged(spark: SparkSession, folder: str) -> DataFrame:
     """Messages of all posts, some damaged: no base64, no JSON, or null."""
-    fields = F.struct(*messages.POST_SCHEMA.names)
+    fields = F.struct(*messages.POST_FIELDS)
     kind = F.col("favorites") % 7
     value = (
         F.when(kind == 0, "!!!notb64")

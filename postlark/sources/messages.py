@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-POST_SCHEMA = StructType.fromDDL(
+POST_SCHEMA = (
     "id BIGINT, text STRING, lang STRING, created_at TIMESTAMP, source STRING, favorites BIGINT, "
     "place STRING, is_retweet BOOLEAN, retweeted STRUCT<id: BIGINT>, "
     "user STRUCT<id: BIGINT, screen_name: STRING, name: STRING, location: STRING>"
 )
+POST_FIELDS = (
+    "id", "text", "lang", "created_at", "source", "favorites", "place", "is_retweet", "retweeted", "user",
+)
 _JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
@@ -20,7 +22,7 @@ def encode_post(post: Column) -> Column:
     return F.translate(F.base64(json.cast("binary")), "\r\n", "")
 
 
-def decode_post(value: Column, schema: StructType = POST_SCHEMA) -> Column:
+def decode_post(value: Column, schema: str = POST_SCHEMA) -> Column:
     """Post struct of an envelope, null when it is no base64, no UTF-8, no JSON or has no id."""
     payload = F.try_to_binary(value.cast("string"), F.lit("base64"))
     post = F.from_json(F.try_validate_utf8(payload.cast("string")), schema, _JSON_OPTIONS)
@@ -29,10 +31,9 @@ def decode_post(value: Column, schema: StructType = POST_SCHEMA) -> Column:
 
 def encode_posts(posts: DataFrame) -> DataFrame:
     """Keyless messages (key, value) of posts."""
-    fields = [F.col(name) for name in POST_SCHEMA.names]
     return posts.select(
         F.lit(None).cast("binary").alias("key"),
-        encode_post(F.struct(*fields)).cast("binary").alias("value"),
+        encode_post(F.struct(*POST_FIELDS)).cast("binary").alias("value"),
     )
 
 

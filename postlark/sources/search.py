@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-RESPONSE_SCHEMA = StructType.fromDDL(
+RESPONSE_SCHEMA = (
     "statuses ARRAY<STRUCT<created_at: STRING, id: BIGINT, text: STRING, "
     "user: STRUCT<name: STRING, location: STRING>>>"
 )

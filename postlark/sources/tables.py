@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlark.sources.messages import POST_SCHEMA
+from postlark.sources.messages import POST_FIELDS
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,7 +17,7 @@ def _count(table: DataFrame) -> Column:
 
 
 def posts_from(events: DataFrame, documents: DataFrame, pages: DataFrame) -> DataFrame:
-    """One post per event, in the shape of POST_SCHEMA.
+    """One post per event, in the shape of a message's post.
 
     The event gives id, time and user; a document gives the text, to which hashtags, some
     keywords and for two events in three a link are appended; a page gives the source. Document
@@ -62,7 +62,7 @@ def posts_from(events: DataFrame, documents: DataFrame, pages: DataFrame) -> Dat
                 F.col("doc_source").alias("location"),
             ).alias("user"),
         )
-        .select(*POST_SCHEMA.names)
+        .select(*POST_FIELDS)
     )
 
 
