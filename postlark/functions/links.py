@@ -25,29 +25,52 @@ LINEAR_LINK_PATTERN = (
 
 
 # A run of letters, digits, dots and hyphens has a start for every part of it, and each start reads
-# to the run's end. Texts with a very long run are read with an alternative that skips a run from
-# which no link can start: none of its parts is "www" and no colon or slash follows.
+# to the run's end. Long texts with a very long run are read with an alternative that skips a run
+# from which no link can start: none of its parts is "www" and no colon or slash follows.
+LONG_TEXT = 10_000
 LONG_RUN = r"[\w.\-]{1000}"
 SKIPPING_LINK_PATTERN = (
     rf"({LINEAR_LINK_PATTERN})|(?![\w.\-]*?www)[\w.\-]++(?!:[\/a-z0-9%]|\/)"
 )
 
 
+def _may_hold_link(text: Column) -> Column:
+    """Every link has a colon, a slash or ``www``; most texts without one need no pattern."""
+    return F.contains(text, F.lit(":")) | F.contains(text, F.lit("/")) | F.contains(text, F.lit("www"))
+
+
+def _has_long_run(text: Column) -> Column:
+    return (F.length(text) > LONG_TEXT) & text.rlike(LONG_RUN)
+
+
+def _past_long_runs(text: Column) -> Column:
+    found = F.regexp_extract_all(text, F.lit(SKIPPING_LINK_PATTERN), F.lit(1))
+    return F.filter(found, lambda link: link != "")
+
+
 def links(text: Column) -> Column:
     """Every link of the text in order, as whole matches."""
-    skipping = F.regexp_extract_all(text, F.lit(SKIPPING_LINK_PATTERN), F.lit(1))
-    return F.when(
-        text.rlike(LONG_RUN), F.filter(skipping, lambda link: link != "")
-    ).otherwise(F.regexp_extract_all(text, F.lit(LINEAR_LINK_PATTERN), F.lit(0)))
+    return (
+        F.when(~_may_hold_link(text), F.array().cast("array<string>"))
+        .when(_has_long_run(text), _past_long_runs(text))
+        .otherwise(F.regexp_extract_all(text, F.lit(LINEAR_LINK_PATTERN), F.lit(0)))
+    )
 
 
 def first_link(text: Column) -> Column:
-    """The first link, null when there is none; mostly the search stops at the first match."""
-    return F.when(text.rlike(LONG_RUN), F.get(links(text), F.lit(0))).otherwise(
-        F.nullif(F.regexp_extract(text, LINEAR_LINK_PATTERN, 0), F.lit(""))
+    """The first link, null when there is none; the search stops at it except past long runs."""
+    return (
+        F.when(~_may_hold_link(text), F.lit(None).cast("string"))
+        .when(_has_long_run(text), F.get(_past_long_runs(text), F.lit(0)))
+        .otherwise(_null_if_empty(F.regexp_extract(text, LINEAR_LINK_PATTERN, 0)))
     )
 
 
+def _null_if_empty(found: Column) -> Column:
+    """Evaluates ``found`` once, which ``nullif`` does not."""
+    return F.get(F.filter(F.array(found), lambda link: link != ""), F.lit(0))
+
+
 def hashtags(text: Column) -> Column:
     """Lower-case tags without the mark, in order, repeats kept."""
     found = F.regexp_extract_all(text, F.lit(HASHTAG_PATTERN), F.lit(1))

@@ -11,7 +11,7 @@ from postlark.operators.classify import accuracy, fit_pipeline, in_training
 from postlark.operators.documents import retain, retention_cutoff, write_back_scores
 from postlark.operators.features import with_tokens
 from postlark.operators.graph import score_persons
-from postlark.session import scratch_path
+from postlark.session import stage
 from postlark.sources.corpus import append_corpus, read_corpus
 from postlark.sources.search import found_posts, read_responses
 
@@ -26,9 +26,7 @@ def train(spark: SparkSession, corpus: str, model: str) -> DataFrame:
 
     Tokens are written once to the shared folder: fitting passes over them three times.
     """
-    tokens = scratch_path(spark, "tokens")
-    with_tokens(read_corpus(spark, corpus)).select("id", "label", "tokens").write.parquet(tokens)
-    docs = spark.read.parquet(tokens)
+    docs = stage(with_tokens(read_corpus(spark, corpus)).select("id", "label", "tokens"), "tokens")
     side = in_training(F.col("id"))
     fitted = fit_pipeline(docs, training=side)
     fitted.write().overwrite().save(model)

@@ -232,19 +232,16 @@ def term_freq(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def idf(spark: SparkSession, folder: str) -> DataFrame:
-    weights = _weights(spark, folder)
+    weights = features.idf(load(spark, folder, "documents"), term_freq(spark, folder))
     return weights.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
-def _weights(spark: SparkSession, folder: str) -> DataFrame:
-    docs = load(spark, folder, "documents")
-    return features.idf(docs, features.term_freq(features.with_tokens(docs), "doc_id"))
-
-
 @query
 def tfidf(spark: SparkSession, folder: str) -> DataFrame:
-    weights = stage(_weights(spark, folder), "idf")
-    weighted = features.tfidf(term_freq(spark, folder), weights, "doc_id")
+    """Texts are tokenized and stemmed once; the weights and the join read the written terms."""
+    terms = stage(term_freq(spark, folder), "terms")
+    weights = stage(features.idf(load(spark, folder, "documents"), terms), "idf")
+    weighted = features.tfidf(terms, weights, "doc_id")
     return weighted.select("doc_id", "term", "tf", F.round("tfidf", 6).alias("tfidf"))
 
 
@@ -289,7 +286,8 @@ def nb_accuracy(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _fitted(spark: SparkSession, folder: str):
-    docs = features.with_tokens(labelled_documents(spark, folder))
+    docs = features.with_tokens(labelled_documents(spark, folder)).select("doc_id", "label", "tokens")
+    docs = stage(docs, "tokens")
     return classify.fit_pipeline(docs, training=classify.in_training(F.col("doc_id")))
 
 

@@ -8,8 +8,24 @@ from pyspark.sql import functions as F
 from postlark.sources.messages import POST_FIELDS
 
 
+TEXT_TABLES = ("documents", "pages")
+
+
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    table = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(table) if name in TEXT_TABLES else table
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """Give every core a share of a text table that has fewer files than there are cores.
+
+    Such a table is small, but texts are costly to read through and one row group is one task. A
+    table of many files is left as it is. The first column is the id that joins use.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    if len(table.inputFiles()) >= cores:
+        return table
+    return table.repartition(cores, table.columns[0])
 
 
 def _count(table: DataFrame) -> Column:
