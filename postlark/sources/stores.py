@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from postlark.operators import graph
 from postlark.operators.documents import retain
-from postlark.session import scratch_path
+from postlark.session import stage
 
 _USER = "struct<id:bigint,screen_name:string,name:string,location:string>"
 _METADATA = "struct<avg_tweet_freq:bigint,avg_tweet_reg:bigint,tweet_freq_variance:bigint,is_bot:boolean>"
@@ -104,11 +104,9 @@ def purge_table(spark: SparkSession, table: str, cutoff: Column, created: str =
         if value != "__HIVE_DEFAULT_PARTITION__" and value < str(day):
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (created_date = DATE'{value}')")
     on_the_day = spark.table(table).filter(F.col("created_date") == F.lit(day))
-    copy = scratch_path(spark, "purge")
-    kept = retain(on_the_day, cutoff, created)
-    kept.write.parquet(copy)
-    remaining = spark.read.schema(kept.schema).parquet(copy)
-    if remaining.isEmpty():
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (created_date = DATE'{day}')")
-        return
-    remaining.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    kept = stage(retain(on_the_day, cutoff, created).drop("created_date"), "purge")
+    partition = f"PARTITION (created_date = DATE'{day}')"
+    if kept.isEmpty():
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {partition}")
+    else:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} {partition} SELECT * FROM {{kept}}", kept=kept)
