@@ -40,19 +40,19 @@ def newest(history: DataFrame, size: int = TIMELINE_SIZE) -> DataFrame:
 def gaps(timeline: DataFrame, *within: str) -> DataFrame:
     """Add ``ms`` and ``dt``, the seconds to the next newer post of the same group."""
     keys = within or ("user_id",)
-    order = Window.partitionBy(*keys).orderBy(F.desc("ms"), F.desc("post_id"))
+    order = Window.partitionBy(*keys).orderBy(F.desc("ts"), F.desc("post_id"))
     stamped = timeline.withColumn("ms", epoch_ms(F.col("ts")))
     return stamped.withColumn("dt", int_div(F.lag("ms").over(order) - F.col("ms"), F.lit(1000)))
 
 
 def gap_changes(timeline: DataFrame) -> DataFrame:
     """Add ``dd``, the change from the newer gap to this one."""
-    order = Window.partitionBy("user_id").orderBy(F.desc("ms"), F.desc("post_id"))
+    order = Window.partitionBy("user_id").orderBy(F.desc("ts"), F.desc("post_id"))
     return gaps(timeline).withColumn("dd", F.lag("dt").over(order) - F.col("dt"))
 
 
 def _moments(value: str) -> list[Column]:
-    at = F.struct("ms", "post_id")
+    at = F.struct("ts", "post_id")
     present = F.when(F.col(value).isNotNull(), at)
     return [
         F.count(value).alias("n"),

@@ -28,22 +28,28 @@ def spread(table: DataFrame) -> DataFrame:
     return table.repartition(cores, table.columns[0])
 
 
-def _count(table: DataFrame) -> Column:
-    return table.select(F.count(F.lit(1))).scalar()
+def _count(spark: SparkSession, folder: str, name: str) -> Column:
+    """Number of rows, from the files' own counts."""
+    return spark.read.parquet(f"{folder}/{name}.parquet").select(F.count(F.lit(1))).scalar()
 
 
-def posts_from(events: DataFrame, documents: DataFrame, pages: DataFrame) -> DataFrame:
+def posts_from(events: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
     """One post per event, in the shape of a message's post.
 
     The event gives id, time and user; a document gives the text, to which hashtags, some
     keywords and for two events in three a link are appended; a page gives the source. Document
-    and page ids are dense from 0, so ids modulo the counts spread the events over them. Works on
-    a stream of events too.
+    and page ids are dense from 0, so ids modulo the counts spread the events over them. Texts are
+    joined last: a text is shuffled once per document, not once per post. Works on a stream of
+    events too.
     """
     keyed = events.withColumns(
-        {"doc_id": F.col("event_id") % _count(documents), "page_id": F.col("event_id") % _count(pages)}
+        {
+            "doc_id": F.col("event_id") % _count(spark, folder, "documents"),
+            "page_id": F.col("event_id") % _count(spark, folder, "pages"),
+        }
     )
-    docs = documents.select(
+    pages = load(spark, folder, "pages").select("page_id", "url")
+    docs = load(spark, folder, "documents").select(
         "doc_id", F.col("text").alias("doc_text"), "lang", F.col("source").alias("doc_source")
     )
     event_id, kind = F.col("event_id"), F.col("event_type")
@@ -57,8 +63,8 @@ def posts_from(events: DataFrame, documents: DataFrame, pages: DataFrame) -> Dat
         ),
     )
     return (
-        keyed.join(docs, "doc_id")
-        .join(pages.select("page_id", "url"), "page_id")
+        keyed.join(pages, "page_id")
+        .join(docs, "doc_id")
         .select(
             event_id.alias("id"),
             text.alias("text"),
@@ -83,7 +89,7 @@ def posts_from(events: DataFrame, documents: DataFrame, pages: DataFrame) -> Dat
 
 
 def posts(spark: SparkSession, folder: str) -> DataFrame:
-    return posts_from(*[load(spark, folder, t) for t in ("events", "documents", "pages")])
+    return posts_from(load(spark, folder, "events"), spark, folder)
 
 
 def history(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,6 +113,4 @@ def event_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def post_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Posts of streamed events, the other tables being static."""
-    return posts_from(
-        event_stream(spark, folder), load(spark, folder, "documents"), load(spark, folder, "pages")
-    )
+    return posts_from(event_stream(spark, folder), spark, folder)
