@@ -204,12 +204,22 @@ def fit_pipeline(
     smoothing: float = SMOOTHING,
     num_features: int = HASHED_TERMS,
 ) -> PipelineModel:
-    """Fit hashing, IDF (all rows) and Naive Bayes (training rows) into one savable model."""
+    """Fit hashing, IDF (all rows) and Naive Bayes (training rows) into one savable model.
+
+    The classifier's fit holds a dense vector per task and class, so its tasks number the cores,
+    not the files. Corpora beyond a labelled set are for ``train_tables``, which aggregates by
+    term.
+    """
     features = Pipeline(stages=feature_stages(num_features)).fit(docs)
     classifier = NaiveBayes(
         labelCol=label, featuresCol="features", predictionCol="prediction",
         smoothing=smoothing, modelType="multinomial",
     )
     train = docs if training is None else docs.filter(training)
-    model = classifier.fit(features.transform(train.select("tokens", F.col(label).cast("double").alias(label))))
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    model = classifier.fit(
+        features.transform(
+            train.select("tokens", F.col(label).cast("double").alias(label)).coalesce(cores)
+        )
+    )
     return PipelineModel(stages=[*features.stages, model])

@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlark.operators.cadence import cadence, score_people, unscored_batch
+from postlark.operators.cadence import cadence, newest, score_people, unscored_batch
 from postlark.operators.classify import accuracy, fit_pipeline, in_training
 from postlark.operators.documents import retain, retention_cutoff, write_back_scores
 from postlark.operators.features import with_tokens
@@ -40,11 +40,18 @@ def load_model(path: str) -> PipelineModel:
 def check_bots(
     people: DataFrame, scored: DataFrame, history: DataFrame, batch: int | None = 150
 ) -> DataFrame:
-    """Scores of the next people not scored yet; of all of them without a batch size."""
-    todo = unscored_batch(people, scored, batch) if batch else people.join(
-        scored.select("user_id"), "user_id", "left_anti"
-    )
-    return score_people(todo, cadence(history.join(todo, "user_id", "left_semi")))
+    """Scores of the next people not scored yet; of all of them without a batch size.
+
+    A batch is a short list, so the history is filtered by it before anything is shuffled. For all
+    people the history is cut to the newest posts first, so no user brings more than those along.
+    """
+    if batch:
+        todo = unscored_batch(people, scored, batch)
+        looked_at = history
+    else:
+        todo = people.join(scored.select("user_id"), "user_id", "left_anti")
+        looked_at = newest(history)
+    return score_people(todo, cadence(looked_at.join(todo, "user_id", "left_semi")))
 
 
 def write_back(documents: DataFrame, persons: DataFrame, scores: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -324,7 +324,8 @@ def dedup_vs_store(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def insert_status(spark: SparkSession, folder: str) -> DataFrame:
     stored, arriving = _split_by_time(spark, folder)
-    return dedup.insert_status(arriving, stored).select("id", "status")
+    keyed = dedup.with_repeat_key(arriving).select("id", "created_at", "repeat_key")
+    return dedup.insert_status(stage(keyed, "keys"), stored).select("id", "status")
 
 
 @query
@@ -367,6 +368,12 @@ def _graph_rows(spark: SparkSession, folder: str) -> DataFrame:
     return graph.graph_rows(to_documents(dedup.first_arrivals(posts(spark, folder)), SURROGATE_SITES))
 
 
+def _stored_graph_rows(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Rows written once, for graphs that are built from them in several steps."""
+    rows = _graph_rows(spark, folder)
+    return stage(rows.select(*columns) if columns else rows, "rows")
+
+
 @query
 def graph_persons(spark: SparkSession, folder: str) -> DataFrame:
     return graph.persons(_graph_rows(spark, folder))
@@ -394,33 +401,34 @@ def graph_tagged(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def graph_posted_vertices(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _graph_rows(spark, folder)
+    rows = _stored_graph_rows(spark, folder)
     return graph.posted_vertices(graph.posted(rows), graph.posts(rows))
 
 
 @query
 def graph_tagged_vertices(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _graph_rows(spark, folder)
+    rows = _stored_graph_rows(spark, folder)
     return graph.tagged_vertices(graph.tagged(rows), graph.posts(rows))
 
 
 @query
 def graph_names(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _graph_rows(spark, folder)
+    rows = _stored_graph_rows(spark, folder)
     return graph.names(graph.persons(rows), graph.posts(rows), graph.tags(rows))
 
 
 @query
 def edge_all_ok(spark: SparkSession, folder: str) -> DataFrame:
     """Posts of all days against the tag edges made from the eleventh day on."""
-    rows = _graph_rows(spark, folder)
+    rows = _stored_graph_rows(spark, folder, "post_id", "tweet_id", "created_ms", "tags")
     late = rows.filter(F.col("created_ms") >= F.unix_millis(_at(DAY_ELEVEN)))
     return graph.all_edges_made(rows, graph.tagged(late))
 
 
 @query
 def recommend(spark: SparkSession, folder: str) -> DataFrame:
-    return graph.recommend(_graph_rows(spark, folder)).withColumn("rank", F.col("rank").cast("bigint"))
+    rows = _stored_graph_rows(spark, folder, "person_id", "post_id", "created_ms", "tags")
+    return graph.recommend(rows).withColumn("rank", F.col("rank").cast("bigint"))
 
 
 # -- sources and sinks ------------------------------------------------------------------------
@@ -525,3 +533,16 @@ def stream_store(spark: SparkSession, folder: str) -> DataFrame:
     )
     running.awaitTermination()
     return stores.read(spark, root, "documents").select("post_id", "tweet_id", "link", "hash", "third_party")
+
+
+@query
+def stream_store_by_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with the repeats known to Spark's state; what the tag edges then are."""
+    inbox, root = scratch_path(spark, "inbox"), scratch_path(spark, "store")
+    _damaged(spark, folder).select("value").dropna().write.text(inbox)
+    running = streams.start_store_by_state(
+        messages.read_message_files(spark, inbox), _fitted(spark, folder), root,
+        scratch_path(spark, "checkpoint"), interval=None, sites=SURROGATE_SITES,
+    )
+    running.awaitTermination()
+    return stores.read_edges(spark, root, "tagged").select("tweet_id", "tag")

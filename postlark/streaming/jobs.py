@@ -24,6 +24,11 @@ PROBE_INTERVAL = "2 seconds"
 REPEAT_HORIZON = "30 days"
 
 
+def _trigger(interval: str | None) -> dict:
+    """Every interval, or once over what is there now."""
+    return {"processingTime": interval} if interval else {"availableNow": True}
+
+
 def score(posts: DataFrame, model: PipelineModel) -> DataFrame:
     """Posts in language and length with their prediction, on tables and streams.
 
@@ -52,15 +57,22 @@ def store_batch(
     batch: DataFrame, batch_id: int, root: str, model: PipelineModel,
     sites: Sequence[str] = AGGREGATOR_SITES,
 ) -> None:
-    """Decode, score, drop repeats, store documents, then the graph from the stored documents."""
+    """Decode, score, drop repeats of the batch and of the stored documents, store the rest."""
     spark = batch.sparkSession
     decoded = decode_messages(batch)
     write_rejects(rejected_messages(decoded), root, batch_id)
     wanted = accepted(score(valid_posts(decoded), model))
     known = stores.other_batches(stores.read(spark, root, "documents"), batch_id)
     fresh = new_posts(with_repeat_key(wanted), known)
+    store_new(fresh, batch_id, root, sites)
+
+
+def store_new(
+    fresh: DataFrame, batch_id: int, root: str, sites: Sequence[str] = AGGREGATOR_SITES
+) -> None:
+    """Store documents, then the graph from the stored documents."""
     stores.append_documents(to_documents(fresh, sites), root, batch_id)
-    stored = stores.read(spark, root, "documents").filter(F.col("batch_id") == batch_id)
+    stored = stores.read(fresh.sparkSession, root, "documents").filter(F.col("batch_id") == batch_id)
     stores.append_graph(graph_rows(stored), root, batch_id)
 
 
@@ -80,13 +92,44 @@ def start_store(
 ) -> StreamingQuery:
     """Run ``store_batch`` on a message stream; without interval, on what is there now."""
     stores.create(messages.sparkSession, root)
-    trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
         messages.writeStream.foreachBatch(
             lambda batch, batch_id: store_batch(batch, batch_id, root, model, sites)
         )
         .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
+        .trigger(**_trigger(interval))
+        .start()
+    )
+
+
+def start_store_by_state(
+    messages: DataFrame, model: PipelineModel, root: str, checkpoint: str,
+    interval: str | None = SCORE_INTERVAL, sites: Sequence[str] = AGGREGATOR_SITES,
+) -> StreamingQuery:
+    """The store job for high rates: repeats are known to Spark's state, not read from the table.
+
+    The cost of a batch follows the batch alone. Undecodable messages are left to
+    ``start_rejects``, a query of its own over the same source.
+    """
+    stores.create(messages.sparkSession, root)
+    fresh = without_repeats(accepted(score(valid_posts(decode_messages(messages)), model)))
+    return (
+        fresh.writeStream.foreachBatch(lambda batch, batch_id: store_new(batch, batch_id, root, sites))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**_trigger(interval))
+        .start()
+    )
+
+
+def start_rejects(
+    messages: DataFrame, root: str, checkpoint: str, interval: str | None = SCORE_INTERVAL
+) -> StreamingQuery:
+    """Keep undecodable messages."""
+    rejects = rejected_messages(decode_messages(messages))
+    return (
+        rejects.writeStream.foreachBatch(lambda batch, batch_id: write_rejects(batch, root, batch_id))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**_trigger(interval))
         .start()
     )
 

@@ -94,6 +94,20 @@ def test_the_store_job_stores_what_the_batch_would(spark, arriving, inbox, model
     assert sorted(r.post_id for r in stores.read(spark, root, "documents").collect()) == expected
 
 
+def test_the_store_job_by_state_stores_the_same(spark, arriving, inbox, model):
+    root = scratch_path(spark, "store")
+    read = lambda: messages.read_message_files(spark, inbox, maxFilesPerTrigger="1")
+    streams.start_store_by_state(read(), model, root, scratch_path(spark, "ck"), interval=None).awaitTermination()
+    streams.start_rejects(read(), root, scratch_path(spark, "ck"), interval=None).awaitTermination()
+    wanted = streams.accepted(streams.score(union(arriving), model))
+    expected = dedup.first_arrivals(wanted)
+    stored = stores.read(spark, root, "documents")
+    assert sorted(r.hash for r in stored.collect()) == sorted(
+        r.h for r in expected.select(F.md5("text").alias("h")).collect()
+    )
+    assert spark.read.parquet(f"{root}/rejects").count() == 3
+
+
 def test_bot_check_job(spark):
     history = spark.createDataFrame(
         [(u, f"2024-01-01 00:{m:02d}:00", u * 100 + m) for u in range(3) for m in range(0, 30, 10)],
