@@ -17,7 +17,7 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(table: DataFrame) -> DataFrame:
-    """Give every core a share of a text table that has fewer files than there are cores.
+    """Give every core a share of a table that has fewer files than there are cores.
 
     Such a table is small, but texts are costly to read through and one row group is one task. A
     table of many files is left as it is. The first column is the id that joins use.
@@ -89,7 +89,7 @@ def posts_from(events: DataFrame, spark: SparkSession, folder: str) -> DataFrame
 
 
 def posts(spark: SparkSession, folder: str) -> DataFrame:
-    return posts_from(load(spark, folder, "events"), spark, folder)
+    return posts_from(spread(load(spark, folder, "events")), spark, folder)
 
 
 def history(spark: SparkSession, folder: str) -> DataFrame:
@@ -112,5 +112,9 @@ def event_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def post_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Posts of streamed events, the other tables being static."""
-    return posts_from(event_stream(spark, folder), spark, folder)
+    """Posts of streamed events, the other tables being static.
+
+    A batch comes from few files; its events are spread before texts are joined to them.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    return posts_from(event_stream(spark, folder).repartition(cores, "event_id"), spark, folder)
