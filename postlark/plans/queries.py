@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlark.functions import contacts, keyvalues, links, text, times
+from postlark.functions import keyvalues, links, text, times
 from postlark.functions.stemming import stem
 from postlark.operators import cadence as bots
 from postlark.operators import classify, dedup, enrich, features, filters, graph
