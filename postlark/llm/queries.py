@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlark.llm import fingerprints, lines, mixing, quality, sharding
+from postlark.llm import fingerprints, html, lines, mixing, packing, quality, sharding, warc
 from postlark.llm.common import n_words
 from postlark.session import stage
 
@@ -35,6 +35,26 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    index = warc.write_bundles(_table(spark, folder, "pages"), warc.bundle_folder(spark))
+    return warc.read_records(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(_table(spark, folder, "pages"))
+
+
+def word_tokenizer() -> str:
+    """The vocabulary file, which every executor has with its Python."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed_documents(_table(spark, folder, "documents"), word_tokenizer())
+
+
 def op8_mixture(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "source", n_words(F.col("text")).alias("size"))
     rows = stage(docs, "sizes")
@@ -53,6 +73,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_interleave": op1_interleave,
     "op3_simhash": op3_simhash,
     "op4_quality": op4_quality,
+    "op5_warc": op5_warc,
+    "op6_main_text": op6_main_text,
+    "op7_best_fit": op7_best_fit,
     "op8_mixture": op8_mixture,
     "op9_spread_lines": op9_spread_lines,
 }
