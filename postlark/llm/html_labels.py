@@ -82,4 +82,28 @@ readers</a></li></ul><p>Come.</p></article><div class="newsletter"><p>Hear of ne
     ("""<body><main><h1>Opening hours</h1><p>Nine to five.</p><p>Closed on Mondays.</p></main></body>""",
      frozenset({"Opening hours", "Nine to five.", "Closed on Mondays."})),
     ("""<body><p>Welcome</p><p><a href="/x">Enter</a></p><p>Best viewed at night</p></body>""", frozenset()),
+    ("""<body><nav><a href="/">Top</a></nav><div class="ad">Cheaper lamps.</div><article><p>The lamp maker of the lower town has closed his shop after
+sixty years, and with it goes the last hand that could mend the old harbour lights when the storms put them out.</p><p>He is ninety.</p>
+<div class="promo">More light for less.</div><p>His tools go to the museum, where they will be shown beside the first lamp that his grandfather made for
+the pier, once the roof of the east wing has been repaired.</p></article></body>""",
+     frozenset({"The lamp maker of the lower town has closed his shop after sixty years, and with it goes the last hand that could mend the old "
+                "harbour lights when the storms put them out.", "He is ninety.", "His tools go to the museum, where they will be shown beside the "
+                "first lamp that his grandfather made for the pier, once the roof of the east wing has been repaired."})),
+    ("""<body><div class="notice">New address.</div><p>We have moved across the square to the house with the green door, where there is room for the
+loom and for two more apprentices, and light from the north all day.</p><aside><p>Looms wanted.</p></aside><p>The old shop stays open on market days until
+the end of the summer, so that nobody who comes down from the hills has to carry their wool back home again.</p><footer><p>Weavers' guild.</p></footer>
+<p class="legal">No part of this page may be copied, sold or hung on a wall without the written leave of the guild and of all its living members.</p></body>""",
+     frozenset({"We have moved across the square to the house with the green door, where there is room for the loom and for two more apprentices, "
+                "and light from the north all day.", "The old shop stays open on market days until the end of the summer, so that nobody who "
+                "comes down from the hills has to carry their wool back home again."})),
+    ("""<body><article><h1>Tides</h1><p><a href="/t">Tide tables for the whole coast</a></p><p>Safe home.</p></article></body>""",
+     frozenset({"Tides", "Tide tables for the whole coast", "Safe home."})),
+    ("""<body><main><h2>Luggage</h2><ul><li><a href="/l1">Boots</a></li><li><a href="/l2">Oilskins and gloves</a></li></ul><p>Rope.</p></main></body>""",
+     frozenset({"Luggage", "Boots", "Oilskins and gloves", "Rope."})),
+    ("""<body><p><a href="/m">Ten things about the moon that nobody told you at school or since</a></p><p>At the river mouth the tide turns twice a day,
+and twice a day the whole bay holds its breath for as long as it takes to drink a glass of water.</p><p><a href="/r">What the spring tide does to
+a river mouth and to those who live by it</a> <a href="/s">Seven walks along the bay for the short days of the year</a></p><p>Those who fish there know the
+hour by the colour of the mud and need no clock, though most of them carry one.</p></body>""",
+     frozenset({"At the river mouth the tide turns twice a day, and twice a day the whole bay holds its breath for as long as it takes to drink a "
+                "glass of water.", "Those who fish there know the hour by the colour of the mud and need no clock, though most of them carry one."})),
 )

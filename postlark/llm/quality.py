@@ -28,10 +28,11 @@ WINDOW = 5
 
 MIN_WORDS = 10
 MOST_REPEATED_PERCENT = 20
-MIN_CHARS_COMPARED = 100
+MIN_CHARS_COMPARED = 300
 MIN_WORDS_COMPARED = 80
-MOST_CHAR_DISTANCE = 0.22
-MOST_WORD_DISTANCE = 0.62
+# The distance that a text may have: that of ordinary texts of any length, and what chance adds to a short one's.
+CHAR_DISTANCE, CHAR_CHANCE = 0.15, 3.2
+WORD_DISTANCE, WORD_CHANCE = 0.19, 1.1
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -163,8 +164,8 @@ def assess(docs: DataFrame, keys: Sequence[str] = ("doc_id",), text: str = "text
     measured = stage(measure(docs, keys, text, lang), "measures")
     joined = measured.join(F.broadcast(references(measured)), "language", "left")  # five rows at most
     near = (
-        ((F.col("word_chars") < MIN_CHARS_COMPARED) | (F.col("char_distance") <= MOST_CHAR_DISTANCE))
-        & ((F.col("n_words") < MIN_WORDS_COMPARED) | (F.col("word_distance") <= MOST_WORD_DISTANCE)))
+        ((F.col("word_chars") < MIN_CHARS_COMPARED) | (F.col("char_distance") <= CHAR_DISTANCE + CHAR_CHANCE / F.sqrt("word_chars")))
+        & ((F.col("n_words") < MIN_WORDS_COMPARED) | (F.col("word_distance") <= WORD_DISTANCE + WORD_CHANCE / F.sqrt("n_words"))))
     empty = F.array().cast("array<bigint>")
     return (
         joined.withColumn("char_distance", divergence(F.col("classes"), F.coalesce("ref_classes", empty)))

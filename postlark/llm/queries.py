@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlark.llm import fingerprints, html, lines, mixing, packing, quality, sharding, warc
+from postlark.llm import fingerprints, html, licenses, lines, minhash, mixing, packing, quality, sharding, warc
 from postlark.llm.common import n_words
 from postlark.session import stage
 
@@ -26,6 +26,15 @@ def op1_interleave(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
 
 
+def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files: by source and language, then five hundred to a directory and 25 to one below, of which the first
+    is the licence file."""
+    name = F.when(F.col("doc_id") % 25 == 0, "LICENSE").otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    path = F.concat_ws("/", "source", F.expr("cast(doc_id div 500 as string)"), F.expr("cast(doc_id div 25 as string)"), name)
+    files = _table(spark, folder, "documents").select("doc_id", path.alias("path"), "text")
+    return licenses.scan_files(files)
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprint_documents(_table(spark, folder, "documents"))
 
@@ -69,8 +78,13 @@ def op9_spread_lines(spark: SparkSession, folder: str) -> DataFrame:
     return lines.remove_spread_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, folder, "documents"), percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_interleave": op1_interleave,
+    "op2_licenses": op2_licenses,
     "op3_simhash": op3_simhash,
     "op4_quality": op4_quality,
     "op5_warc": op5_warc,
@@ -78,4 +92,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_best_fit": op7_best_fit,
     "op8_mixture": op8_mixture,
     "op9_spread_lines": op9_spread_lines,
+    "op10_near_duplicates": op10_near_duplicates,
 }
