@@ -46,7 +46,8 @@ _STEP = r"[aeiou][^aeiou]"
 # A y is a vowel if an even run of y's and a hard consonant follow, or an odd run and a vowel or
 # the end.
 _VOWEL_Y = r"y(?=(?:yy)*+[^aeiouy])|y(?=y(?:yy)*+(?:[aeiou]|\z))"
-_CVC_END = r"[^aeiou][aeiou][^aeiou]\z"
+# A character beyond the basic plane counts as two consonants.
+_CVC_END = r"[^aeiou][aeiou][^aeiou\x{10000}-\x{10FFFF}]\z"
 _DOUBLE_END = r"([^aeiou\x{10000}-\x{10FFFF}])\1\z"
 
 Condition = Callable[[str], str]

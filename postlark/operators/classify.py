@@ -18,7 +18,6 @@ from postlark.operators.joins import lookup
 SMOOTHING = 0.0001
 TRAIN_SHARE = 0.7
 HASHED_TERMS = 1 << 20
-CLASSES = (0.0, 1.0)
 
 
 def in_training(key: Column, share: float = TRAIN_SHARE) -> Column:
@@ -121,11 +120,12 @@ class NaiveBayesTables:
 
     @classmethod
     def load(
-        cls, spark: SparkSession, path: str, classes: Sequence[float] = CLASSES,
-        smoothing: float = SMOOTHING,
+        cls, spark: SparkSession, path: str, smoothing: float = SMOOTHING,
     ) -> NaiveBayesTables:
+        """The classes are those of ``priors``, in the order of the weight sums."""
         priors, totals, terms = (spark.read.parquet(f"{path}/{t}") for t in ("priors", "totals", "terms"))
-        return cls(tuple(float(c) for c in classes), smoothing, priors, totals, terms)
+        classes = tuple(row.label for row in priors.select("label").orderBy("label").collect())
+        return cls(classes, smoothing, priors, totals, terms)
 
 
 def train_tables(
@@ -133,7 +133,7 @@ def train_tables(
     path: str,
     label: str = "label",
     training: Column | None = None,
-    classes: Sequence[float] = CLASSES,
+    classes: Sequence[float] | None = None,
     smoothing: float = SMOOTHING,
     dimension: int | None = None,
 ) -> NaiveBayesTables:
@@ -142,10 +142,14 @@ def train_tables(
     IDF sees all rows, the classifier the training side. The weight sum of a term in a class is idf(term) times its summed tf, so idf, document
     frequency and class sums come from one aggregation by term: no TF-IDF table is built and
     nothing is joined. The documents are read once for it. ``dimension`` is the vector size, by default the number of terms.
+    The classes are the labels that training rows have; with ``classes``, those of them that do.
     """
-    classes = tuple(float(c) for c in classes)
     training = F.lit(True) if training is None else training
     marked = docs.withColumn("_class", F.when(training, F.col(label).cast("double")))
+    present = [row._class for row in marked.select("_class").dropna().distinct().orderBy("_class").collect()]
+    classes = tuple(c for c in present if classes is None or c in classes)
+    if not classes:
+        raise ValueError("no training row has a label")
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     terms = (
         term_freq(marked, "_class")
@@ -179,7 +183,7 @@ def train_tables(
         (F.count(F.lit(1)) if dimension is None else F.lit(dimension)).cast("bigint").alias("dimension"),
         *[F.coalesce(F.sum(f"w_{i}"), F.lit(0.0)).alias(f"w_{i}") for i in range(len(classes))],
     ).withColumn("n_docs", n_docs).write.mode("overwrite").parquet(f"{path}/totals")
-    return NaiveBayesTables.load(spark, path, classes, smoothing)
+    return NaiveBayesTables.load(spark, path, smoothing)
 
 
 def accuracy(predicted: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:

@@ -43,13 +43,19 @@ def new_posts(posts: DataFrame, documents: DataFrame, by: tuple[str, ...] = ("cr
 def insert_status(posts: DataFrame, documents: DataFrame, by: tuple[str, ...] = ("created_at", "id")) -> DataFrame:
     """Every post with ``inserted`` or ``duplicate``.
 
-    The first arrival per key is found on ids alone; posts then look their key up in a table of
-    one row per key.
+    The first arrival per key is found on ids alone, and rows with its id and key are numbered: of
+    a post that was delivered several times one is inserted. Both the join and the numbering go by
+    the id, so the posts are shuffled once.
     """
     keyed = posts if "repeat_key" in posts.columns else with_repeat_key(posts)
     winners = new_posts(keyed.select("id", "created_at", "repeat_key"), documents, by).select(
-        "id", F.lit("inserted").alias("status")
+        F.col("id").alias("_id"), F.col("repeat_key").alias("_key")
     )
-    return keyed.join(winners, "id", "left").withColumn(
-        "status", F.coalesce("status", F.lit("duplicate"))
+    delivery = Window.partitionBy("id", "repeat_key").orderBy(*by)
+    first = F.col("_id").isNotNull() & (F.col("_rn") == 1)
+    return (
+        keyed.join(winners, (F.col("id") == F.col("_id")) & (F.col("repeat_key") == F.col("_key")), "left")
+        .withColumn("_rn", F.row_number().over(delivery))
+        .withColumn("status", F.when(first, "inserted").otherwise("duplicate"))
+        .drop("_id", "_key", "_rn")
     )

@@ -161,37 +161,40 @@ def names(person_vertices: DataFrame, post_vertices: DataFrame, tag_vertices: Da
 
 
 def recommend(rows: DataFrame, k: int = 5) -> DataFrame:
-    """(person_id, rank, post_id, shared): for each person, posts listed under the person's tags.
-
-    Every tag lists its ``k`` newest posts. A post scores the number of the person's tags that
-    list it; own posts are left out and newer posts win ties. Work grows with the (person, tag)
-    rows times ``k``, whatever the size of a tag.
+    """(person_id, rank, post_id, shared): for each person, the ``k`` posts of others that share most
+    of the person's tags, newer ones first among equals.
+
+    Posts with the same set of tags share the same number with a person, so tags are counted per
+    person and set. A person's best posts lie in their best ``k`` sets, ordered by that number and
+    the set's newest post that is not their own; and of a set no more is needed than its newest 2k
+    posts with at most k of each author, since own posts take up k of them at most. Work grows with
+    the pairs of a person and a set that share a tag, not with the posts.
     """
-    by_tag = Window.partitionBy("tag").orderBy(F.desc("created_ms"), F.desc("post_id"))
-    exploded = rows.select("person_id", "post_id", "created_ms", F.explode(F.array_distinct("tags")).alias("tag"))
+    posts = rows.select(
+        "person_id", "post_id", "created_ms", F.sort_array(F.array_distinct("tags")).alias("tags")
+    ).filter(F.size("tags") > 0).distinct()
+    newest = [F.desc("created_ms"), F.desc("post_id")]
+    of_author = Window.partitionBy("tags", "person_id").orderBy(*newest)
+    of_set = Window.partitionBy("tags").orderBy(*newest)
     listed = (
-        exploded.withColumn("_rn", F.row_number().over(by_tag))
-        .filter(F.col("_rn") <= k)
-        .groupBy("tag")
-        .agg(
-            F.collect_list(
-                F.struct("post_id", "created_ms", F.col("person_id").alias("author"))
-            ).alias("listed")
-        )
-    )
-    interests = exploded.select("person_id", "tag").distinct()
-    candidates = (
-        lookup(interests, listed, ["tag"], ["person_id"], count_rows(interests, ["tag"]), how="inner")
-        .select("person_id", F.inline("listed"))
-        .filter(F.col("author") != F.col("person_id"))
-        .groupBy("person_id", "post_id")
-        .agg(F.count(F.lit(1)).alias("shared"), F.max("created_ms").alias("created_ms"))
-    )
-    best = Window.partitionBy("person_id").orderBy(
-        F.desc("shared"), F.desc("created_ms"), F.desc("post_id")
+        posts.withColumn("_rn", F.row_number().over(of_author)).filter(F.col("_rn") <= k)
+        .withColumn("_rn", F.row_number().over(of_set)).filter(F.col("_rn") <= 2 * k)
+        .groupBy("tags")
+        .agg(F.collect_list(F.struct("created_ms", "post_id", F.col("person_id").alias("author"))).alias("listed"))
     )
+    interests = posts.select("person_id", F.explode("tags").alias("tag")).distinct()
+    set_tags = listed.select("tags", F.explode("tags").alias("tag"))
+    shared = interests.join(set_tags, "tag").groupBy("person_id", "tags").agg(F.count(F.lit(1)).alias("shared"))
+    others = shared.join(listed, "tags").withColumn(
+        "listed", F.filter("listed", lambda p: p["author"] != F.col("person_id"))
+    ).filter(F.size("listed") > 0).withColumn("_newest", F.array_max("listed"))
+    best_sets = Window.partitionBy("person_id").orderBy(F.desc("shared"), F.desc("_newest"))
+    best = Window.partitionBy("person_id").orderBy(F.desc("shared"), *newest)
     return (
-        candidates.withColumn("rank", F.row_number().over(best))
+        others.withColumn("_rn", F.row_number().over(best_sets))
+        .filter(F.col("_rn") <= k)
+        .select("person_id", "shared", F.inline("listed"))
+        .withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)
         .select("person_id", "rank", "post_id", "shared")
     )

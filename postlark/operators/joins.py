@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 1 / 1000
-SALTS = 64
 
 
 def hot_keys(counts: DataFrame, on: Sequence[str], rows: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding more than ``share`` of all rows; there are fewer than ``1 / share`` of them."""
-    total = counts.select(F.sum(rows)).scalar()
-    return counts.filter(F.col(rows) > total * share).select(*on)
+    """Keys holding more than ``share`` of all rows, with ``_salts``: the parts of at most that share
+    they are cut into. There are fewer than ``1 / share`` keys, and fewer than ``2 / share`` parts."""
+    limit = counts.select(F.sum(rows)).scalar() * share
+    hot = counts.filter(F.col(rows) > limit)
+    return hot.select(*on, F.ceil(F.col(rows) / limit).cast("int").alias("_salts"))
 
 
 def lookup(
@@ -26,35 +27,35 @@ def lookup(
     rows: str = "n_rows",
     how: str = "left",
     share: float = HOT_SHARE,
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Join ``facts`` to ``table`` (unique on ``on``) with the hot keys spread over ``salts`` tasks.
+    """Join ``facts`` to ``table`` (unique on ``on``) with the hot keys spread over as many tasks as
+    their rows ask for, so that no part holds more than ``share`` of the facts.
 
     ``counts`` says how many fact rows each key has. The hot keys number fewer than ``1 / share``
     whatever the data, so that list is broadcast; only their few table rows are repeated per salt.
     Cold keys join on the key alone. Null keys keep their row in a left join.
     """
     on = list(on)
-    hot = F.broadcast(hot_keys(counts, on, rows, share).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot_keys(counts, on, rows, share))
     none = F.lit(0)
 
     def salted(salt: Column) -> Column:
-        return F.when(F.col("_hot"), salt).otherwise(none)
+        return F.when(F.col("_salts").isNotNull(), salt).otherwise(none)
 
     left = (
         facts.join(hot, on, "left")
-        .withColumn("_salt", salted(F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")))
-        .drop("_hot")
+        .withColumn("_salt", salted(F.pmod(F.xxhash64(*spread), F.col("_salts")).cast("int")))
+        .drop("_salts")
     )
     right = (
         table.join(hot, on, "left")
         .withColumn(
             "_salt",
             F.explode(
-                F.when(F.col("_hot"), F.sequence(none, F.lit(salts - 1))).otherwise(F.array(none))
+                F.when(F.col("_salts").isNotNull(), F.sequence(none, F.col("_salts") - 1)).otherwise(F.array(none))
             ),
         )
-        .drop("_hot")
+        .drop("_salts")
     )
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 

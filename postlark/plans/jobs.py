@@ -38,7 +38,7 @@ def load_model(path: str) -> PipelineModel:
 
 
 def check_bots(
-    people: DataFrame, scored: DataFrame, history: DataFrame, batch: int | None = 150
+    people: DataFrame, scored: DataFrame, history: DataFrame, batch: int | None = None
 ) -> DataFrame:
     """Scores of the next people not scored yet; of all of them without a batch size.
 

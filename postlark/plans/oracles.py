@@ -243,9 +243,6 @@ scores AS (SELECT user_id, CAST(f AS BIGINT) AS avg_tweet_freq, CAST(r AS BIGINT
 
 
 _SCALED = (SURROGATE_LIMITS.fast, SURROGATE_LIMITS.regular, SURROGATE_LIMITS.spread)
-FIRST_BATCH = f"""first_scores AS (
-  SELECT * FROM scores ORDER BY user_id LIMIT {PEOPLE_BATCH})"""
-
 _ALL_SCORES = "SELECT * FROM scores"
 
 _CONTACTS = """found AS (
@@ -282,14 +279,14 @@ ORACLES: dict[str, str] = {
 WHERE user_id NOT IN (SELECT DISTINCT user_id FROM events ORDER BY user_id LIMIT {PEOPLE_BATCH})
 ORDER BY user_id LIMIT 150""",
     "bot_writeback": _with(
-        POSTS, _scores(), FIRST_BATCH,
+        POSTS, _scores(),
         select="""SELECT id AS post_id, user_id, avg_tweet_freq, avg_tweet_reg, tweet_freq_variance, is_bot
-FROM posts LEFT JOIN first_scores USING (user_id)""",
+FROM posts LEFT JOIN scores USING (user_id)""",
     ),
     "graph_scored_persons": _with(
-        *GRAPH, PERSONS, _scores(), FIRST_BATCH,
+        *GRAPH, PERSONS, _scores(),
         select="""SELECT id, name, person_key, avg_tweet_freq, avg_tweet_reg, tweet_freq_variance, is_bot
-FROM persons LEFT JOIN first_scores ON CAST(user_id AS VARCHAR) = id""",
+FROM persons LEFT JOIN scores ON CAST(user_id AS VARCHAR) = id""",
     ),
     "lang_length_filter": """SELECT doc_id, units FROM (
   SELECT doc_id, lang, CAST(length(text)
@@ -377,9 +374,12 @@ FROM found""",
     ),
     "dedup_vs_store": _with(POSTS, LINKED, KEYED, _STORED, select="SELECT id, repeat_key FROM fresh"),
     "insert_status": _with(
-        POSTS, LINKED, KEYED, _STORED,
-        select="""SELECT id, CASE WHEN id IN (SELECT id FROM fresh) THEN 'inserted' ELSE 'duplicate' END AS status
-FROM arriving""",
+        POSTS, LINKED, KEYED.replace("AS (", "AS MATERIALIZED (", 1),
+        f"stored_keys AS (SELECT DISTINCT repeat_key FROM keyed WHERE created_at < TIMESTAMP '{DAY_ELEVEN}')",
+        f"""arriving AS (SELECT *, row_number() OVER (PARTITION BY repeat_key ORDER BY created_at, id) AS arrival
+  FROM keyed WHERE created_at >= TIMESTAMP '{DAY_ELEVEN}')""",
+        select="""SELECT id, CASE WHEN arrival = 1 AND s.repeat_key IS NULL THEN 'inserted' ELSE 'duplicate' END AS status
+FROM arriving a LEFT JOIN stored_keys s ON s.repeat_key = a.repeat_key""",
     ),
     "aggregator_flag": _with(POSTS, LINKED, select="SELECT id, third_party FROM linked"),
     "post_document": _with(
@@ -427,10 +427,8 @@ GROUP BY post_id""",
     "recommend": _with(
         *GRAPH, EXPLODED,
         "once AS (SELECT DISTINCT person_id, post_id, created_ms, tag FROM exploded)",
-        """listed AS (SELECT * FROM once
-  QUALIFY row_number() OVER (PARTITION BY tag ORDER BY created_ms DESC, post_id DESC) <= 5)""",
         """candidates AS (SELECT i.person_id, l.post_id, l.created_ms, count(*) AS shared
-  FROM (SELECT DISTINCT person_id, tag FROM once) i JOIN listed l USING (tag)
+  FROM (SELECT DISTINCT person_id, tag FROM once) i JOIN once l USING (tag)
   WHERE l.person_id <> i.person_id GROUP BY ALL)""",
         """ranked AS (SELECT *, row_number() OVER (PARTITION BY person_id
   ORDER BY shared DESC, created_ms DESC, post_id DESC) AS rank FROM candidates)""",

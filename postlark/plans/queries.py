@@ -84,6 +84,11 @@ def _first_scores(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.check_bots(_people(spark, folder), nobody, history(spark, folder), PEOPLE_BATCH)
 
 
+def _all_scores(spark: SparkSession, folder: str) -> DataFrame:
+    nobody = _people(spark, folder).filter(F.lit(False))
+    return jobs.check_bots(_people(spark, folder), nobody, history(spark, folder))
+
+
 @query
 def bot_unscored_batch(spark: SparkSession, folder: str) -> DataFrame:
     """The batch after the first one."""
@@ -94,7 +99,7 @@ def bot_unscored_batch(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def bot_writeback(spark: SparkSession, folder: str) -> DataFrame:
     documents = to_documents(posts(spark, folder))
-    return write_back_scores(documents, _first_scores(spark, folder)).select(
+    return write_back_scores(documents, _all_scores(spark, folder)).select(
         "post_id", F.col("user.id").alias("user_id"), "metadata.*"
     )
 
@@ -102,7 +107,7 @@ def bot_writeback(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def graph_scored_persons(spark: SparkSession, folder: str) -> DataFrame:
     people = graph.persons(_graph_rows(spark, folder))
-    return graph.score_persons(people, _first_scores(spark, folder))
+    return graph.score_persons(people, _all_scores(spark, folder))
 
 
 # -- filters and text -------------------------------------------------------------------------

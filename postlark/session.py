@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,11 +26,11 @@ def build_session(app: str = "postlark", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only when none is named and Spark is local."""
+    """The cluster's shared folder; a temporary one only when none is named and Spark is one process."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="postlark-")
     spark.conf.set("spark.checkpoint.dir", folder)
@@ -37,8 +38,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder, so no run reads another run's files."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, so no run reads another run's files.
+
+    All paths of an application lie in a folder of its own, which goes when its driver ends.
+    """
+    folder = f"{shared_dir(spark)}/postlark-{spark.sparkContext.applicationId}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place) and files.mkdirs(place):
+        files.deleteOnExit(place)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Names looked for in a post's source.
@@ -19,17 +19,12 @@ AGGREGATOR_SITES = (
     "tweetmyjobs", "uloop", "usajobs", "workopolis", "workpop", "ziprecruiter",
 )
 
-MAX_SITES = 10_000
-
 
 def read_sites(spark: SparkSession, path: str) -> DataFrame:
     """One site per line."""
     return spark.read.text(path).select(F.trim("value").alias("site")).filter("site <> ''")
 
 
-def site_list(sites: DataFrame) -> tuple[str, ...]:
-    """The sites as literals for an expression; refuses what is no short reference list."""
-    found = [row.site for row in sites.limit(MAX_SITES + 1).collect()]
-    if len(found) > MAX_SITES:
-        raise ValueError(f"more than {MAX_SITES} sites: not a reference list")
-    return tuple(found)
+def site_list(sites: DataFrame) -> Column:
+    """The sites of a table as one array, which Spark computes once and gives to every task."""
+    return sites.select(F.sort_array(F.collect_set("site"))).scalar()

@@ -16,16 +16,19 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spread(table) if name in TEXT_TABLES else table
 
 
+SPREAD_BYTES = 32_000_000
+
+
 def spread(table: DataFrame) -> DataFrame:
-    """Give every core a share of a table that has fewer files than there are cores.
+    """Give every core a share of a table with less than SPREAD_BYTES for each of them.
 
-    Such a table is small, but texts are costly to read through and one row group is one task. A
-    table of many files is left as it is. The first column is the id that joins use.
+    Texts are costly to read through and one row group is one task, so a small table would keep few
+    cores busy. What is shuffled is bounded by SPREAD_BYTES per core; a larger table is left as it
+    is. The size is the scan's own estimate. The first column is the id that joins use.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    if len(table.inputFiles()) >= cores:
-        return table
-    return table.repartition(cores, table.columns[0])
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return table.repartition(cores, table.columns[0]) if size < cores * SPREAD_BYTES else table
 
 
 def _count(spark: SparkSession, folder: str, name: str) -> Column:

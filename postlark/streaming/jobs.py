@@ -45,11 +45,16 @@ def score(posts: DataFrame, model: PipelineModel) -> DataFrame:
 
 
 def without_repeats(posts: DataFrame, horizon: str = REPEAT_HORIZON) -> DataFrame:
-    """Streaming duplicate removal with its state in Spark, forgotten after the horizon."""
+    """Streaming duplicate removal with its state in Spark, forgotten after the horizon.
+
+    Time is that of arrival, so a post that arrives late is never dropped for its age.
+    """
     return (
         with_repeat_key(posts)
-        .withWatermark("created_at", horizon)
+        .withColumn("_arrived", F.current_timestamp())
+        .withWatermark("_arrived", horizon)
         .dropDuplicatesWithinWatermark(["repeat_key"])
+        .drop("_arrived")
     )
 
 

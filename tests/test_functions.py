@@ -103,6 +103,7 @@ def test_links_of_hostile_texts_end(spark):
 
 
 STEMS = {
+    "ba\U0001F600ed": "ba\U0001F600", "xa\U0001F600e": "xa\U0001F600",
     "hiring": "hire", "jobs": "job", "#jobs": "#job", "career": "career", "applied": "appli",
     "apply": "appli", "agreed": "agr", "feed": "fe", "snowing": "snowe", "happy": "happi",
     "python": "python", "relational": "relat", "caresses": "caress", "ponies": "poni",

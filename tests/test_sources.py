@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from postlark.functions.text import one_line
-from postlark.operators import graph
+from postlark.operators import aggregators, graph
 from postlark.operators.documents import to_documents
 from postlark.plans import jobs
 from postlark.session import scratch_path
@@ -76,7 +76,10 @@ def test_search_responses(spark, tmp_path):
 
 def test_site_list(spark, tmp_path):
     (tmp_path / "sites.txt").write_text("a.com\n\n b.com \n")
-    assert sorted(sites.site_list(sites.read_sites(spark, str(tmp_path)))) == ["a.com", "b.com"]
+    listed = sites.site_list(sites.read_sites(spark, str(tmp_path)))
+    posts = spark.createDataFrame([("x", "via A.com"), ("y", "c.com"), ("z", None)], "id string, source string")
+    flagged = aggregators.flag_aggregators(posts, listed).orderBy("id").collect()
+    assert [r.third_party for r in flagged] == [True, False, False]
     assert len(sites.AGGREGATOR_SITES) == len(set(sites.AGGREGATOR_SITES)) == 70
 
 

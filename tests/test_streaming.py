@@ -118,3 +118,16 @@ def test_bot_check_job(spark):
     scores = {r.user_id: tuple(r)[1:] for r in jobs.check_bots(people, done, history, batch=3).collect()}
     assert scores == {1: (600, 0, 0, True), 2: (600, 0, 0, True), 3: (0, 0, 0, True)}
     assert jobs.check_bots(people, done, history, batch=None).count() == 4
+
+
+def test_late_posts_are_kept(spark, tmp_path):
+    """A post older than the horizon that arrives after newer ones is no repeat of theirs."""
+    inbox = tmp_path / "late"
+    rows = [(1, "2024-03-01", "a"), (2, "2024-03-02", "b"), (3, "2024-01-01", "c"), (4, "2024-03-03", "a")]
+    for id_, day, text in rows:
+        spark.createDataFrame([(id_, day, text)], "id long, day string, text string").coalesce(1).write.mode("append").json(str(inbox))
+    stream = spark.readStream.schema("id long, day string, text string").option("maxFilesPerTrigger", 1).json(str(inbox))
+    posts = stream.withColumn("created_at", F.to_timestamp("day"))
+    kept = streams.run_to_files(
+        streams.without_repeats(posts).select("id", "text"), str(tmp_path / "kept"), str(tmp_path / "checkpoint"))
+    assert sorted(r.text for r in kept.collect()) == ["a", "b", "c"]
