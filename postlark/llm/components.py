@@ -25,21 +25,24 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return turned.filter("u <> v").distinct()
 
 
-def _mark(links: DataFrame) -> tuple[int, int]:
-    row = links.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-    return row["n"], row["x"] or 0
+def _is_stars(links: DataFrame) -> bool:
+    """Whether every node that is not the smallest of its component hangs on that one alone: then both stars leave all
+    as it is."""
+    ends = links.select(F.greatest("u", "v").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")).unionByName(
+        links.select(F.least("u", "v").alias("node"), F.lit(0).alias("below"), F.lit(1).alias("above")))
+    odd = ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above")).filter("below > 1 or below + above > 1")
+    return odd.agg(F.count(F.lit(1)).alias("n")).first()["n"] == 0
 
 
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``component`` (its smallest node) for every node of the links (``u``, ``v``, longs) but those whose
     component they name themselves.
 
-    The two stars alternate until the links no longer change; then each node points at the smallest one it can reach.
-    Every round is written to the shared folder, so no lineage builds up, and nothing but two numbers comes to the driver.
+    The two stars alternate until each node points at the smallest one it can reach. Every round is written to the
+    shared folder, so no lineage builds up, and nothing but a number comes to the driver.
     """
-    now = stage(links.select(F.col("u").cast("long"), F.col("v").cast("long")).filter("u <> v").distinct(), "links")
-    before, mark = None, _mark(now)
-    while mark != before and mark[0]:
+    now = stage(links.select(F.greatest("u", "v").cast("long").alias("u"), F.least("u", "v").cast("long").alias("v"))
+                .filter("u <> v").distinct(), "links")
+    while not _is_stars(now):
         now = stage(_star(_star(now, large=True), large=False), "links")
-        before, mark = mark, _mark(now)
     return now.select(F.greatest("u", "v").alias("node"), F.least("u", "v").alias("component"))
