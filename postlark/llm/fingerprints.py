@@ -88,7 +88,8 @@ def within_radius(queries: DataFrame, fingerprints: DataFrame, radius: int = RAD
     apart = F.bit_count(F.col("query").bitwiseXOR(F.col("found")))
     q, f = laid(queries, "query"), laid(fingerprints, "found")
     near = (q["table"] == f["table"]) & (q["bits"] == f["bits"]) & (apart <= radius) & (apart > 0)
-    return q.join(f, near).select("query", "found").distinct()
+    # Sizes are guessed from before the keys are laid out, so a broadcast of the queries would have no proven bound.
+    return q.hint("merge").join(f, near).select("query", "found").distinct()
 
 
 def with_next(rows: DataFrame, order: str, carried: Sequence[str], ties: Sequence[Column]) -> DataFrame:
