@@ -70,7 +70,7 @@ def op8_mixture(spark: SparkSession, folder: str) -> DataFrame:
     assigned = mixing.assign_positions(rows, mixing.curriculum_plan(rows))
     return assigned.select(
         "doc_id", "size", "source_size", "target", (F.col("repeats") * F.col("size")).cast("long").alias("taken"), "repeats",
-        F.get("positions", F.lit(0)).alias("position")).orderBy("position")
+        F.get("positions", F.lit(0)).alias("position")).orderBy("position", "doc_id")  # untaken rows have no position
 
 
 def op9_spread_lines(spark: SparkSession, folder: str) -> DataFrame:
