@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 import zlib
 from collections.abc import Callable, Iterator, Sequence
@@ -22,8 +23,8 @@ SEQUENCE_TOKENS = 2048
 OPEN_BINS = 256
 PIECES_PER_GROUP = 4096
 END_OF_DOCUMENT = 0
-CACHED = 600_000
-TEXT_BYTES_AT_ONCE = 16_000_000
+REMEMBERED = 100_000
+TEXT_BYTES_AT_ONCE = 2_000_000
 # Fixed value: how the vocabulary's tokenizer splits a word, which decides the ids.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -34,13 +35,35 @@ def _gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.n
     return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)]
 
 
+def _coded(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class Recent:
+    """Remembers what was made of the keys last asked for. When REMEMBERED of them are new, those not asked for since
+    the last such turn are forgotten."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        self.make = make
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def of(self, keys: list[str]) -> list[bytes]:
+        if len(self.new) > REMEMBERED:
+            self.old, self.new = self.new, {}
+        fresh = set(keys) - self.new.keys()
+        known = fresh & self.old.keys()
+        self.new.update((key, self.old[key]) for key in known)
+        self.new.update((key, self.make(key)) for key in fresh - known)
+        return list(map(self.new.__getitem__, keys))
+
+
 class WordIds:
     """Token ids of white-space-separated words.
 
     The tokenizer never joins words across white space, so a text's ids are those of its words in a row. Most of the
     tokenizer's time goes into splitting; here words of Latin letters are normalized and split together by a faster
-    engine, and only parts not met before go to the tokenizer's model. All other words go to the tokenizer whole. Words
-    and parts are remembered; when there are CACHED of them they start anew.
+    engine, and only parts not met lately go to the tokenizer's model. All other words go to the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -53,60 +76,40 @@ class WordIds:
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # byte-level letters stand for themselves
         others = [b for b in range(256) if b not in printable]
         self.letters = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
-        self.parts: dict[str, bytes] = {}
-        self.forget()
-
-    def forget(self) -> None:
-        self.places: dict[str, int] = {}
-        self.flat, self.starts, self.lengths = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.parts, self.words = Recent(self._model_ids), Recent(self._tokenizer_ids)
 
     def _is_plain(self, words: str) -> bool:
         return bool(self.plain(words)) and not any(s in words for s in self.specials)
 
     def _model_ids(self, part: str) -> bytes:
-        tokens = self.tokenizer.model.tokenize("".join(map(self.letters.__getitem__, part.encode())))
-        return np.array([t.id for t in tokens], "<u4").tobytes()
+        if part == "\n":
+            return b""
+        letters = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
+        return _coded([t.id for t in self.tokenizer.model.tokenize(letters)])
+
+    def _tokenizer_ids(self, word: str) -> bytes:
+        return _coded(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
-    def _new(self, words: list[str]) -> tuple[bytes, np.ndarray]:
+    def _plain_ids(self, words: list[str]) -> tuple[bytes, np.ndarray]:
         """The ids of plain words in a row, and how many each has."""
+        if not words:
+            return b"", np.zeros(0, np.int64)
         tokens = self.split(unicodedata.normalize("NFC", "\n".join(words)).lower())
-        if len(self.parts) > CACHED:
-            self.parts.clear()
-        for part in set(tokens) - self.parts.keys() - {"\n"}:
-            self.parts[part] = self._model_ids(part)
-        self.parts["\n"] = b""
-        ids = [self.parts[t] for t in tokens]
-        ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 4)
-        breaks = np.fromiter((t == "\n" for t in tokens), bool, len(tokens))
+        ids = self.parts.of(tokens)
+        ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 4)])
+        breaks = np.flatnonzero(np.fromiter((t == "\n" for t in tokens), bool, len(tokens)))
         return b"".join(ids), np.diff(np.concatenate([[0], ends[breaks], ends[-1:]]))
 
-    def learn(self, words: list[str]) -> None:
-        if self._is_plain("\n".join(words)):
-            plain, other = words, []
-        else:
-            plain = [w for w in words if self._is_plain(w)]
-            known = set(plain)
-            other = [w for w in words if w not in known]
-        flat, counts = self._new(plain) if plain else (b"", np.zeros(0, np.int64))
-        rest = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in other]
-        lengths = np.concatenate([counts, np.array([len(x) for x in rest], np.int64)])
-        self.places.update(zip([*plain, *other], range(len(self.places), len(self.places) + len(words)), strict=True))
-        own = np.concatenate([np.frombuffer(flat, "<u4"), np.array([i for x in rest for i in x], "<u4")])
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.flat = np.concatenate([self.flat, own])
-
     def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All ids that are known, and where each distinct word's begin and how many they are."""
-        if len(self.places) > CACHED:
-            self.forget()
-        self.places.setdefault("", len(self.places))  # white space at either end of a text leaves empty words
-        if len(self.starts) < len(self.places):
-            self.starts, self.lengths = np.append(self.starts, 0), np.append(self.lengths, 0)
-        if new := [w for w in words if w not in self.places]:
-            self.learn(new)
-        at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
-        return self.flat, self.starts[at], self.lengths[at]
+        """The ids of all the words, and where each word's begin and how many they are."""
+        plain = np.ones(len(words), bool) if self._is_plain("\n".join(words)) else np.array([self._is_plain(w) for w in words], bool)
+        flat, counts = self._plain_ids([w for w, p in zip(words, plain, strict=True) if p])
+        rest = self.words.of([w for w, p in zip(words, plain, strict=True) if not p])
+        lengths, starts = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        lengths[plain], lengths[~plain] = counts, np.array([len(x) // 4 for x in rest], np.int64)
+        starts[plain] = np.cumsum(counts) - counts
+        starts[~plain] = len(flat) // 4 + np.cumsum(lengths[~plain]) - lengths[~plain]
+        return np.frombuffer(flat + b"".join(rest), "<u4"), starts, lengths
 
 
 _WORDS: dict[str, WordIds] = {}
