@@ -12,6 +12,7 @@ from postlark.operators.documents import retain, retention_cutoff, write_back_sc
 from postlark.operators.features import with_tokens
 from postlark.operators.graph import score_persons
 from postlark.session import stage
+from postlark.sources import stores
 from postlark.sources.corpus import append_corpus, read_corpus
 from postlark.sources.search import found_posts, read_responses
 
@@ -54,6 +55,16 @@ def check_bots(
     return score_people(todo, cadence(looked_at.join(todo, "user_id", "left_semi")))
 
 
+def check_store(spark: SparkSession, root: str, history: DataFrame, run: int, batch: int | None = None) -> DataFrame:
+    """Score the store's people that no other run has scored, store the scores and return them. The same run again
+    replaces its scores; the next one takes other people."""
+    people = stores.read_vertices(spark, root, "persons").select(F.col("id").cast("bigint").alias("user_id")).dropna().distinct()
+    scored = stores.other_batches(stores.read(spark, root, "scores"), run)
+    found = stage(check_bots(people, scored.select("user_id").distinct(), history, batch), "scores")
+    stores.append_scores(found, root, run)
+    return found
+
+
 def write_back(documents: DataFrame, persons: DataFrame, scores: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents and persons with the scores put in."""
     return write_back_scores(documents, scores), score_persons(persons, scores)

@@ -1,16 +1,18 @@
-"""The document table and the graph tables as Parquet folders.
+"""The document table, the graph tables and the bot scores as Parquet folders.
 
-Every write belongs to a batch and replaces only that batch's partitions, so a batch that is run
-again after a lost executor or driver leaves the tables as a single run would.
+Every write belongs to a batch, has a folder of its own and replaces it whole, so a batch that is
+run again after a lost executor or driver leaves the tables as a single run would, also where the
+second run chose other rows or days. No write reads the graph tables: a vertex may stand in several
+batches, and readers take each once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postlark.operators import graph
-from postlark.operators.documents import retain
+from postlark.operators.documents import SCORE_FIELDS, retain, write_back_scores
 from postlark.session import stage
 
 _USER = "struct<id:bigint,screen_name:string,name:string,location:string>"
@@ -31,20 +33,21 @@ SCHEMAS = {
     "tags": "name string",
     "posted": f"person_key string, tweet_id string, relation string, {_TIMES}",
     "tagged": f"tweet_id string, tag string, {_TIMES}",
+    "scores": "user_id bigint, avg_tweet_freq bigint, avg_tweet_reg bigint, tweet_freq_variance bigint, is_bot boolean",
 }
 VERTEX_KEYS = {"persons": "person_key", "posts": "post_key", "tags": "name"}
 EDGE_KEYS = {"posted": ["person_key", "tweet_id", "relation"], "tagged": ["tweet_id", "tag"]}
 
 
-def _partitions(name: str) -> list[str]:
-    return ["created_date", "batch_id"] if name == "documents" else ["batch_id"]
+def _days(name: str) -> list[str]:
+    return ["created_date"] if name == "documents" else []
 
 
 def create(spark: SparkSession, root: str) -> None:
     """Lay down empty tables so that readers find them before the first batch."""
     for name, schema in SCHEMAS.items():
         spark.createDataFrame([], f"{schema}, batch_id bigint").write.mode("append").partitionBy(
-            *_partitions(name)
+            "batch_id", *_days(name)
         ).parquet(f"{root}/{name}")
 
 
@@ -53,13 +56,9 @@ def read(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def write_batch(df: DataFrame, root: str, name: str, batch_id: int) -> None:
-    (
-        df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*_partitions(name))
-        .parquet(f"{root}/{name}")
-    )
+    """Replace the batch's folder."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(*_days(name)).parquet(f"{root}/{name}/batch_id={batch_id}")
 
 
 def other_batches(df: DataFrame, batch_id: int) -> DataFrame:
@@ -73,19 +72,96 @@ def append_documents(documents: DataFrame, root: str, batch_id: int) -> None:
 
 
 def append_graph(rows: DataFrame, root: str, batch_id: int) -> None:
-    """Add the vertices that are new and the batch's edges."""
-    spark = rows.sparkSession
+    """Add the batch's vertices and edges."""
     for name, build in (("persons", graph.persons), ("posts", graph.posts), ("tags", graph.tags)):
-        known = other_batches(read(spark, root, name), batch_id)
-        write_batch(graph.merge_vertices(known, build(rows), VERTEX_KEYS[name]), root, name, batch_id)
+        write_batch(build(rows).dropDuplicates([VERTEX_KEYS[name]]), root, name, batch_id)
     for name, build in (("posted", graph.posted), ("tagged", graph.tagged)):
         write_batch(build(rows), root, name, batch_id)
 
 
+def _each_vertex(stored: DataFrame, name: str) -> DataFrame:
+    first = Window.partitionBy(VERTEX_KEYS[name]).orderBy("batch_id")
+    return stored.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn", "batch_id")
+
+
+def _each_edge(stored: DataFrame, name: str) -> DataFrame:
+    edges = stored.drop("batch_id")
+    return graph.merge_edges(edges.limit(0), edges, *EDGE_KEYS[name])
+
+
+def read_vertices(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Every vertex once, as the first batch that has it made it."""
+    return _each_vertex(read(spark, root, name), name)
+
+
 def read_edges(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Every edge once, whatever the number of batches that made it."""
-    edges = read(spark, root, name).drop("batch_id")
-    return graph.merge_edges(edges.limit(0), edges, *EDGE_KEYS[name])
+    return _each_edge(read(spark, root, name), name)
+
+
+def _folders(spark: SparkSession, pattern: str):
+    """The file system and the folders that match."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files, [found.getPath() for found in files.globStatus(place) or []]
+
+
+def compact_graph(spark: SparkSession, root: str, below: int) -> None:
+    """Merge the graph tables' batches below ``below`` (above 0, all of them ended) into one folder each.
+
+    The merged folder has the negative of ``below`` as its batch. It is whole before the others go, and readers take
+    vertices and edges once, so readers see the same before, between and after, and it can be run again at any time.
+    """
+    for name in (*VERTEX_KEYS, *EDGE_KEYS):
+        merge = _each_vertex if name in VERTEX_KEYS else _each_edge
+        files, folders = _folders(spark, f"{root}/{name}/batch_id=*")
+        number = {folder: int(folder.getName().split("=", 1)[1]) for folder in folders}
+        old = [folder for folder in folders if number[folder] < below and number[folder] != -below]
+        if old:
+            closed = stage(read(spark, root, name).filter(F.col("batch_id") < below), "compact")
+            write_batch(merge(closed, name), root, name, -below)
+            for folder in old:
+                files.delete(folder, True)
+
+
+def purge_documents(spark: SparkSession, root: str, cutoff: Column) -> None:
+    """Retention on the stored documents: folders of days before the cutoff's day go, those of that day are rewritten.
+
+    Younger days and documents without a time are not touched. Not to be run while a stream writes to the store.
+    """
+    day = str(spark.range(1).select(F.to_date(cutoff).alias("day")).first().day)
+    files, folders = _folders(spark, f"{root}/documents/batch_id=*/created_date=*")
+    dated = {folder: folder.getName().split("=", 1)[1] for folder in folders}
+    for folder in folders:
+        if dated[folder] != "__HIVE_DEFAULT_PARTITION__" and dated[folder] < day:
+            files.delete(folder, True)
+    on_the_day = read(spark, root, "documents").filter(F.col("created_date") == F.lit(day).cast("date"))
+    kept = stage(retain(on_the_day, cutoff), "purge")
+    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "batch_id", "created_date").parquet(f"{root}/documents")
+    left = {row.batch_id for row in kept.select("batch_id").distinct().collect()}  # a row for each batch of one day
+    for folder in folders:
+        if dated[folder] == day and int(folder.getParent().getName().split("=", 1)[1]) not in left:
+            files.delete(folder, True)
+
+
+def append_scores(scores: DataFrame, root: str, run: int) -> None:
+    """Store the bot scores of a run. Documents and persons get them when they are read, so none is rewritten."""
+    write_batch(scores.select("user_id", *SCORE_FIELDS), root, "scores", run)
+
+
+def read_scores(spark: SparkSession, root: str) -> DataFrame:
+    """The newest score of each user."""
+    last = Window.partitionBy("user_id").orderBy(F.desc("batch_id"))
+    return read(spark, root, "scores").withColumn("_rn", F.row_number().over(last)).filter("_rn = 1").drop("_rn", "batch_id")
+
+
+def scored_documents(spark: SparkSession, root: str) -> DataFrame:
+    return write_back_scores(read(spark, root, "documents"), read_scores(spark, root))
+
+
+def scored_persons(spark: SparkSession, root: str) -> DataFrame:
+    return graph.score_persons(read_vertices(spark, root, "persons"), read_scores(spark, root))
 
 
 def save_table(df: DataFrame, table: str, *partitions: str) -> None:

@@ -109,11 +109,63 @@ def test_running_a_batch_again_changes_nothing(spark):
     stores.append_documents(second, root, 1)
     stores.append_graph(graph.graph_rows(second), root, 1)
     assert {name: store_rows(spark, root, name) for name in stores.SCHEMAS} == before
-    assert [len(before[n]) for n in ("documents", "persons", "posts", "tags")] == [4, 2, 4, 2]
+    assert len(before["documents"]) == 4
+    assert [stores.read_vertices(spark, root, n).count() for n in ("persons", "posts", "tags")] == [2, 4, 2]
     whole = graph.graph_rows(first.unionByName(second))
     assert stores.read_edges(spark, root, "tagged").count() == graph.tagged(whole).count()
 
 
+def test_a_batch_run_again_with_other_rows_is_replaced_whole(spark):
+    root = scratch_path(spark, "store")
+    stores.create(spark, root)
+    for winner in (post(1, "a", minutes=0), post(2, "a", minutes=5000)):  # on different days
+        stores.append_documents(to_documents(posts(spark, winner)), root, 5)
+    assert [r.post_id for r in stores.read(spark, root, "documents").collect()] == [2]
+
+
+def test_compaction_changes_no_vertex_or_edge(spark):
+    root = scratch_path(spark, "store")
+    stores.create(spark, root)
+    for batch_id in range(3):
+        docs = to_documents(posts(spark, post(1, "a #t"), post(10 + batch_id, "b #t #u", user=batch_id)))
+        stores.append_graph(graph.graph_rows(docs), root, batch_id)
+    seen = lambda: {n: sorted(str(r) for r in (
+        stores.read_vertices if n in stores.VERTEX_KEYS else stores.read_edges)(spark, root, n).collect())
+        for n in (*stores.VERTEX_KEYS, *stores.EDGE_KEYS)}
+    before = seen()
+    for below in (2, 2, 3):
+        stores.compact_graph(spark, root, below)
+        assert seen() == before
+    assert [r.batch_id for r in stores.read(spark, root, "tags").select("batch_id").distinct().collect()] == [-3]
+
+
+def test_retention_on_the_store(spark):
+    root = scratch_path(spark, "store")
+    stores.create(spark, root)
+    for batch_id in range(2):
+        rows = [post(10 * batch_id + i, minutes=i * 360) for i in range(8)]
+        stores.append_documents(to_documents(posts(spark, *rows)), root, batch_id)
+    cutoff = START + timedelta(minutes=360 * 5)
+    for _ in range(2):
+        stores.purge_documents(spark, root, F.lit(cutoff))
+        left = sorted(r.post_id for r in stores.read(spark, root, "documents").collect())
+        assert left == [5, 6, 7, 15, 16, 17]
+
+
+def test_bot_scores_reach_the_store(spark):
+    root = scratch_path(spark, "store")
+    stores.create(spark, root)
+    docs = to_documents(posts(spark, *[post(i, user=i % 3) for i in range(6)]))
+    stores.append_documents(docs, root, 0)
+    stores.append_graph(graph.graph_rows(docs), root, 0)
+    history = docs.select(F.col("user.id").alias("user_id"), F.col("created_at").alias("ts"), "post_id")
+    for run, people in ((0, [0, 1]), (0, [0, 1]), (1, [2])):
+        assert sorted(r.user_id for r in jobs.check_store(spark, root, history, run, batch=2).collect()) == people
+        done = {r.id for r in stores.scored_persons(spark, root).filter("is_bot is not null").collect()}
+        assert done == {str(u) for u in range(2 + run)}
+    assert stores.scored_documents(spark, root).filter("metadata is null").count() == 0
+
+
 def test_purge_drops_old_days_and_trims_the_cutoff_day(spark):
     rows = [post(i, minutes=i * 360) for i in range(12)]
     docs = to_documents(posts(spark, *rows)).withColumn("created_date", F.to_date("created_at"))
