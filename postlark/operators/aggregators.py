@@ -14,10 +14,10 @@ from postlark.sources.sites import AGGREGATOR_SITES
 def from_aggregator(source: Column, sites: Sequence[str] | Column = AGGREGATOR_SITES) -> Column:
     """True when the lower-cased source holds a site's name literally; stops at the first hit.
 
-    ``sites`` are names, or an array column of them (``site_list`` makes one of a table).
+    ``sites`` are names, or a column with a pattern of them (``site_list`` makes one of a table).
     """
     if isinstance(sites, Column):
-        return F.coalesce(F.exists(sites, lambda site: F.contains(F.lower(source), site)), F.lit(False))
+        return F.coalesce(F.rlike(F.lower(source), sites), F.lit(False))
     return F.coalesce(contains_any(source, tuple(sites)), F.lit(False))
 
 

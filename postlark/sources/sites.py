@@ -26,5 +26,6 @@ def read_sites(spark: SparkSession, path: str) -> DataFrame:
 
 
 def site_list(sites: DataFrame) -> Column:
-    """The sites of a table as one array, which Spark computes once and gives to every task."""
-    return sites.select(F.sort_array(F.collect_set("site"))).scalar()
+    """A pattern that finds any site of a table, which Spark computes once and gives to every task; null without sites."""
+    quoted = F.regexp_replace("site", r"[^\p{L}\p{N}]", r"\\$0")
+    return sites.select(F.nullif(F.array_join(F.sort_array(F.collect_set(quoted)), "|"), F.lit(""))).scalar()

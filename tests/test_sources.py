@@ -75,11 +75,13 @@ def test_search_responses(spark, tmp_path):
 
 
 def test_site_list(spark, tmp_path):
-    (tmp_path / "sites.txt").write_text("a.com\n\n b.com \n")
+    (tmp_path / "sites.txt").write_text("a.com\n\n b.com \ny+z\n")
     listed = sites.site_list(sites.read_sites(spark, str(tmp_path)))
-    posts = spark.createDataFrame([("x", "via A.com"), ("y", "c.com"), ("z", None)], "id string, source string")
+    posts = spark.createDataFrame([("x", "via A.com"), ("y", "c.com"), ("z", None), ("za", "axcom"), ("zb", "an y+z job")], "id string, source string")
     flagged = aggregators.flag_aggregators(posts, listed).orderBy("id").collect()
-    assert [r.third_party for r in flagged] == [True, False, False]
+    assert [r.third_party for r in flagged] == [True, False, False, False, True]
+    none = sites.site_list(sites.read_sites(spark, str(tmp_path)).limit(0))
+    assert not any(r.third_party for r in aggregators.flag_aggregators(posts, none).collect())
     assert len(sites.AGGREGATOR_SITES) == len(set(sites.AGGREGATOR_SITES)) == 70
 
 
