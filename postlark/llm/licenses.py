@@ -10,30 +10,49 @@ from pyspark.sql import functions as F
 
 from postlark.session import stage
 
-# Notices by which licences are named, one row for each wording.
+BARE = "All rights reserved."  # names no terms, so it counts only in a file without any other notice
+# Notices by which licences are named, one row for each wording, each sentence that names one apart.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
+    ("MIT", "Licensed under the MIT License."),
+    ("MIT", "MIT License"),
+    ("MIT", "The MIT License (MIT)"),
     ("MIT", "Licensed under the MIT License. See the LICENSE file in the project root for license information."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
             "(the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, "
             "merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is "
             "furnished to do so, subject to the following conditions:"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "Apache License 2.0"),
+    ("Apache-2.0", "Apache License, Version 2.0, January 2004"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the "
                    "License."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
                 "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "GNU General Public License, version 3, 29 June 2007"),
     ("GPL-2.0", "Licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+                "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "GNU General Public License, version 2, June 1991"),
     ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+                 "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "GNU Lesser General Public License, version 3, 29 June 2007"),
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+                 "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "GNU Affero General Public License, version 3, 19 November 2007"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
                      "following conditions are met:"),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
     ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
             "that the above copyright notice and this permission notice appear in all copies."),
+    ("ISC", "ISC License"),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright under CC0 1.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
@@ -42,12 +61,20 @@ TEMPLATES = (
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("Proprietary", "All rights reserved. No part of this work may be reproduced without written permission."),
+    ("Proprietary", "No part of this work may be reproduced without written permission."),
+    ("Proprietary", BARE),
 )
 # Fixed value: words of which a notice has at least one.
 ANCHORS = "licen[sc]|copyright|permission|permitted|redistribut|public domain|all rights reserved|free software|waived|spdx|unencumbered"
 LICENSE_FILES = "(?i)^(licen[sc]e|copying|notice|unlicense)([._-].*)?$"
 THRESHOLD = 0.6
-PASSAGE_BREAK = "\\n|(?<=[.;!?:])\\s+(?=\\p{Lu}|\\W)"
+WHOLE_TERMS = 3  # a template of no more terms than these counts only where all of them stand
+SENTENCE_BREAK = "(?<=[.;!?:])\\s+(?=\\p{Lu}|\\W)"
+PASSAGE_BREAK = f"\\n|{SENTENCE_BREAK}"
+RUN_BREAK = "\\n(?:[^\\p{L}\\p{N}\\n]*\\n)+"  # lines without a letter or digit, comment marks among them
+LINE_START = "\\n[^\\p{L}\\p{N}\\n(\"']*(?:(?i:rem|dnl)\\b[ \\t]*)?"
+SPDX = "(?i)\\bSPDX-License-Identifier:[ \\t(]*([A-Z0-9][A-Z0-9.+:-]*)"
+SPDX_FORM = "(?i)(-only|-or-later|\\+)$"
 TERM = "[\\p{L}\\p{N}]+(?:[.-][\\p{L}\\p{N}]+)*"
 
 
@@ -63,14 +90,47 @@ def template_table(spark: SparkSession, templates: Sequence[tuple[str, str]] = T
     return spark.createDataFrame([(i, *x) for i, x in enumerate(templates)], "template int, license string, wording string")
 
 
+def _anchored(text: Column) -> Column:
+    return text.rlike(f"(?i){ANCHORS}")
+
+
+def _passages(files: DataFrame) -> DataFrame:
+    """``file``, ``part``, ``passage`` and ``words`` of all that is compared: from each run of adjacent lines with an anchor,
+    its lines, the sentences in them, the sentences of the run with its line ends and comment marks undone, each two of these
+    that stand together, and the run as a whole; a licence file (by its name) also as a whole."""
+    whole = F.coalesce("text", F.lit(""))
+    runs = files.select("file", F.posexplode(F.filter(F.split(whole, RUN_BREAK), _anchored)).alias("part", "run"))
+    hyphened = F.regexp_replace("run", "(?<=[\\p{L}\\p{N}])-\\n[^\\p{L}\\p{N}\\n]*", "-")
+    undone = runs.select("file", "part", "run", F.explode(F.array(F.regexp_replace(hyphened, LINE_START, " "))).alias("flat"))
+    sentences = F.split("flat", SENTENCE_BREAK)
+    pairs = F.zip_with(sentences, F.slice(sentences, 2, F.size(sentences)), lambda x, y: F.when(_anchored(x) & _anchored(y), F.concat_ws(" ", x, y)))
+    every = F.concat(F.split("run", PASSAGE_BREAK), F.split("run", "\n"), sentences, pairs, F.array("flat"))
+    found = undone.select("file", "part", F.posexplode(F.array_distinct(F.filter(every, _anchored))).alias("passage", "words"))
+    is_license = F.regexp_extract("path", "([^/]*)$", 1).rlike(LICENSE_FILES)
+    return found.unionByName(files.filter(is_license & _anchored(whole)).select("file", F.lit(-1).alias("part"), F.lit(0).alias("passage"), whole.alias("words")))
+
+
+def tagged(files: DataFrame, templates: DataFrame) -> DataFrame:
+    """For each file with an SPDX tag the licence that it names first: by the templates' name where they have it, with or
+    without its -only or -or-later, else as written."""
+    known = {r["license"].lower(): r["license"] for r in templates.select("license").distinct().collect()}
+    names = F.create_map(*[F.lit(x) for pair in known.items() for x in pair]) if known else F.create_map().cast("map<string,string>")
+    tag = F.regexp_extract(F.coalesce("text", F.lit("")), SPDX, 1)
+    plain = F.lower(F.regexp_replace("_tag", SPDX_FORM, ""))
+    return files.select("file", tag.alias("_tag")).filter(~F.upper("_tag").isin("", "NONE", "NOASSERTION")).select(
+        "file", F.coalesce(F.try_element_at(names, plain), "_tag").alias("license"))
+
+
 def scan_notices(files: DataFrame, templates: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """For each file (``file``, ``path``, ``text``) with a notice its ``license`` and ``score``, the best cosine.
 
-    Passages are the lines of the whole text and the sentences within them; those with an anchor word are compared with
+    An SPDX tag says it outright, with score 1. Else passages are the lines, the sentences, wrapped ones among them, the
+    pairs of sentences and the runs of adjacent lines; those with an anchor word are compared with
     every template, and a licence file (by its name) also as a whole. Terms weigh 1 + log tf times an inverse document
     frequency over all files; a term that no template has counts in the norms with the weight of one that no file has. The
     product runs over shared terms only: passages meet templates by a join on the term. A passage whose best cosine is
-    below the threshold has no licence; of equal ones the first template wins.
+    below the threshold has no licence; of equal ones the first template wins. A template of three terms or fewer needs them
+    all, and a bare "All rights reserved." gives way to any other notice of the file.
     """
     vocabulary = [r["term"] for r in templates.select(F.explode(_terms(F.col("wording"))).alias("term")).distinct().orderBy("term").collect()]
     words = F.split(F.lower(F.coalesce("text", F.lit(""))), "[^\\p{L}\\p{N}.-]+")
@@ -82,24 +142,23 @@ def scan_notices(files: DataFrame, templates: DataFrame, threshold: float = THRE
     weight = lambda: (1 + F.log("tf")) * F.coalesce("idf", F.lit(rare))
     idf = frequencies.select("term", (F.log((1 + F.lit(total)) / (1 + F.col("df"))) + 1).alias("idf"))  # a row for each template term
 
-    is_license = F.regexp_extract("path", "([^/]*)$", 1).rlike(LICENSE_FILES)
-    whole = F.coalesce("text", F.lit(""))
-    lines = F.filter(F.split(whole, PASSAGE_BREAK), lambda x: x.rlike(f"(?i){ANCHORS}"))
-    more = F.when(is_license & whole.rlike(f"(?i){ANCHORS}"), F.array(whole)).otherwise(F.array().cast("array<string>"))
-    passages = files.select("file", F.posexplode(F.concat(lines, more)).alias("passage", "words"))
+    keys = ["file", "part", "passage"]
     weighed = stage(
-        _counted(passages, ["file", "passage"], "words").join(F.broadcast(idf), "term", "left").select("file", "passage", "term", weight().alias("w")),
+        _counted(_passages(files), keys, "words").join(F.broadcast(idf), "term", "left").select(*keys, "term", weight().alias("w")),
         "notice_terms")
-    model = _counted(templates, ["template", "license"], "wording").join(F.broadcast(idf), "term", "left").select(
-        "template", "license", "term", weight().alias("v"))
-    norms = weighed.groupBy("file", "passage").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    sizes = model.groupBy("template").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("size"))
+    model = _counted(templates.withColumn("strong", F.col("wording") != BARE), ["template", "license", "strong"], "wording").join(
+        F.broadcast(idf), "term", "left").select("template", "license", "strong", "term", weight().alias("v"))
+    norms = weighed.groupBy(*keys).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    sizes = model.groupBy("template").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("size"), F.count(F.lit(1)).alias("terms"))
     model = model.join(sizes, "template")
-    products = weighed.join(F.broadcast(model), "term").groupBy("file", "passage", "template", "license").agg(
-        (F.sum(F.col("w") * F.col("v")) / F.first("size")).alias("dot"))  # as many rows as the templates have terms
-    scored = products.join(norms, ["file", "passage"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).filter(F.col("score") >= threshold)
-    best = scored.groupBy("file").agg(F.max(F.struct("score", (-F.col("template")).alias("first"), "license")).alias("best"))
-    return best.select("file", "best.license", "best.score")
+    products = weighed.join(F.broadcast(model), "term").groupBy(*keys, "template", "license", "strong").agg(
+        (F.sum(F.col("w") * F.col("v")) / F.first("size")).alias("dot"),  # as many rows as the templates have terms
+        ((F.first("terms") > WHOLE_TERMS) | (F.count(F.lit(1)) == F.first("terms"))).alias("whole"))
+    scored = products.filter("whole").join(norms, keys).withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).filter(F.col("score") >= threshold)
+    best = scored.groupBy("file").agg(F.max(F.struct("strong", "score", (-F.col("template")).alias("first"), "license")).alias("best"))
+    tags = tagged(files, templates).groupBy("file").agg(F.first("license").alias("_tag"))
+    return best.join(tags, "file", "full").select(
+        "file", F.coalesce("_tag", "best.license").alias("license"), F.when(F.col("_tag").isNotNull(), 1.0).otherwise(F.col("best.score")).alias("score"))
 
 
 def directory_of(path: Column) -> Column:

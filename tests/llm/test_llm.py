@@ -98,6 +98,35 @@ def test_each_template_finds_its_licence(spark):
             assert got[f"d{i}/f.txt"] == name
 
 
+def test_notices_whole_split_and_wrapped(spark):
+    import re
+    import textwrap
+
+    rows, want = [], {}
+
+    def put(text, name):
+        rows.append((f"d{len(rows)}/f{len(rows)}.c", text))
+        want[rows[-1][0]] = name
+
+    for name, wording in licenses.TEMPLATES:
+        put(f"x = 1\n\n// {wording}\n\ny = 2", name)
+        put("x = 1\n\n" + "\n".join(textwrap.wrap(wording, 72)) + "\n\ny = 2", name)
+        put("/*\n" + "\n".join(f" * {t}" for t in textwrap.wrap(wording, 72)) + "\n */\ny = 2", name)
+        put("x = 1\n" + "\n".join(f"# {t}" for t in re.split(licenses.SENTENCE_BREAK.replace("\\p{Lu}", "[A-Z]"), wording)) + "\n\ny = 2", name)
+    for name in sorted({n for n, _ in licenses.TEMPLATES}):
+        put(f"// SPDX-License-Identifier: {name}\ncode", name)
+    put("# SPDX-License-Identifier: GPL-2.0-or-later\ncode", "GPL-2.0")
+    put("# SPDX-License-Identifier: Zlib\ncode", "Zlib")
+    put("Prose of some length.\nAll rights reserved.", "Proprietary")
+    put("Copyright (c) 2012, A. Writer. All rights reserved.\n\nRedistribution and use in source and binary forms, with or without\n"
+        "modification, are permitted provided that the following conditions\nare met:", "BSD-3-Clause")
+    put("License\n\nSee elsewhere.", None)
+    rows += [("e/LICENSE", licenses.TEMPLATES[0][1]), ("e/own.txt", "A tale.\nAll rights reserved.")]
+    want["e/own.txt"] = "Proprietary"
+    got = {r.path: r.license for r in licenses.scan_files(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert {p: got[p] for p in want} == want
+
+
 # -- fingerprints -----------------------------------------------------------------------------
 
 
