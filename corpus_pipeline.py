@@ -37,10 +37,15 @@ def remove_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that with the smallest id; texts without words all stay, but of
-    rows that share an id one stays."""
-    gone = minhash.near_duplicates(docs.select("doc_id", "text")).filter(~F.col("kept")).select("doc_id").distinct()
-    return _documents(docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"]))
+    """One row of each group of near-duplicates, that with the smallest id (null ids last); rows of texts without words all
+    stay. A row is known by its id and its text's digest, so null and repeated ids join nothing that the texts do not."""
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *lines.text_digest(F.col("text")))
+    keyed = docs.select(*COLUMNS, row.alias("_row"))
+    gone = minhash.near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text")).filter(~F.col("kept")).select(
+        F.col("doc_id").alias("_row")).distinct()
+    worded = F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    one_each = keyed.filter(worded).join(gone, "_row", "left_anti").dropDuplicates(["_row"])
+    return _documents(one_each.unionByName(keyed.filter(~worded)))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

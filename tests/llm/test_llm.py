@@ -414,3 +414,14 @@ def test_pipeline_stages(spark, odd, empty, tmp_path):
                 ids = [r.doc_id for r in now.collect()]
                 assert 2000 not in ids and len(ids) == len(set(ids))
         assert (now.count() > 0) == (name == "odd")
+
+
+def test_near_duplicates_of_null_and_repeated_ids(spark):
+    text = [" ".join(f"u{k}w{i}" for i in range(40)) for k in range(6)]
+    near = text[0].rsplit(" ", 1)[0] + " changed"
+    rows = [(None, text[0], "en", "a"), (None, text[1], "en", "a"), (None, text[1], "en", "b"), (7, text[2], "en", "a"), (7, text[3], "en", "b"),
+            (7, near, "en", "c"), (8, text[4], "en", "a"), (8, text[4], "en", "a"), (9, text[5], "en", "a"), (2, text[2], "en", "d"),
+            (None, None, "en", "a"), (None, None, "en", "a"), (5, " ", "en", "a"), (5, " ", "en", "a")]
+    got = corpus_pipeline.drop_near_duplicates(spark, documents(spark, rows), "").collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter([
+        (None, text[1]), (2, text[2]), (7, text[3]), (7, near), (8, text[4]), (9, text[5]), (None, None), (None, None), (5, " "), (5, " ")])
