@@ -26,12 +26,20 @@ RAW = frozenset("script style title textarea noscript iframe template svg math".
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ASIDE_TAGS = frozenset("nav footer aside form menu dialog button fieldset".split())
 CONTENT_TAGS = frozenset("article main".split())
+# Hints are looked for in class tokens, ids, roles and labels one by one.
 ASIDE_HINT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|side-?bar\w*|menu\w*|nav\w*|breadcrumbs?|footer\w*|header|masthead|"
+    r"(?:^|[_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|side-?bar\w*|menu\w*|nav\w*|breadcrumbs?|footer\w*|header|masthead|"
     r"cookies?\w*|consent|gdpr|notices?|notification\w*|alert\w*|popup\w*|modal\w*|overlay|subscri\w*|newsletter\w*|sign-?up|login|search\w*|"
     r"share\w*|sharing|social\w*|related\w*|recommend\w*|widgets?\w*|comments?\w*|replies|reply|respond|disqus\w*|pagination|pager|tags|"
-    r"toolbar|disclaimer|copyright|legal|outbrain|taboola|toc|skip\w*|complementary|navigation|contentinfo|form)(?=$|[\s_-])", re.I)
-CONTENT_HINT = re.compile(r"(?:^|[\s_-])(?:article\w*|content|post|entry\w*|story\w*|main|body-?text|prose)(?=$|[\s_-])", re.I)
+    r"toolbar|disclaimer|copyright|legal|outbrain|taboola|toc|skip\w*|complementary|navigation|contentinfo|form)(?=$|[_-])", re.I)
+CONTENT_HINT = re.compile(r"(?:^|[_-])(?:article\w*|content|post|entry\w*|story\w*|main|body-?text|prose)(?=$|[_-])", re.I)
+# Tokens that say what a part is about or what state it is in, not what it is: taxonomy and state.
+STATE = re.compile(r"(?:category|cat|tag|tagged|topic|format|type|status|has|no|with|without|is|hide|show)-.*|.*-(?:open|closed|on|off|enabled|disabled)", re.I)
+# Content by its whole name: such a part is content inside an aside as well, and such a token outweighs a hint beside it.
+CONTENT_NAME = re.compile(r"(?:article|entry|post|story)[-_]+(?:content|body|text)|(?:main|page)[-_]+content", re.I)
+CONTENT_TOKEN = re.compile(r"post|hentry|article", re.I)
+# What makes even an article element an aside: advertising, unless a content token stands beside it.
+SOLD = re.compile(r"(?:ads?|advert\w*|adsense|sponsor\w*|promo)(?:[-_].*)?", re.I)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 FEATURES = ("words", "link_density", "words_before", "links_before", "words_after", "links_after", "place", "heading", "item")
@@ -40,28 +48,35 @@ TREE_DEPTH = 6
 
 HARD_HINT = re.compile(r"comment|repl(?:y|ies)|respond|related|recommend", re.I)
 PART_NAME = re.compile(r"(?:article|entry|post|story|page|section)[-_]+(?:header|main|title|body|text)", re.I)
-ASIDE, HARD, UNSEEN = -1, -3, -2
+ASIDE, HARD, UNSEEN, VEILED = -1, -3, -2, -4
 
 
 def _place(tag: str, attributes: str, outer: int) -> int:
     """1 within content, ASIDE within an aside, HARD where an aside holds what looks like articles, else 0; what stands
-    nearest decides."""
+    nearest decides. VEILED is an aside that is not shown, out of which only an article or main element leads. Such an element
+    is content whatever single words its classes hold, unless these name comments, related matter or advertising."""
     hints = []
     for m in ATTRIBUTE.finditer(attributes) if attributes else ():
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "style":
             if name == "hidden" or HIDDEN.search(value):
-                return ASIDE
+                return HARD if outer == HARD else VEILED
         else:
-            hints.append(PART_NAME.sub(" content ", value))
-    named = " ".join(hints)
+            hints += [x for x in value.split() if not STATE.fullmatch(x)]
     if outer == HARD:
         return HARD
-    if tag in ASIDE_TAGS or named and tag not in ("html", "body") and ASIDE_HINT.search(named):
-        return HARD if tag in ("aside", "nav", "footer") or HARD_HINT.search(named) else ASIDE
+    named = [PART_NAME.sub("content", x) for x in hints]
+    own = any(CONTENT_TOKEN.fullmatch(x) or CONTENT_NAME.fullmatch(x) for x in hints)
+    aside = [x for x in named if ASIDE_HINT.search(x)] if tag not in ("html", "body") else []
+    if tag in ("aside", "nav", "footer") or any(map(HARD_HINT.search, aside)) and tag != "main":
+        return HARD
+    if tag in CONTENT_TAGS:
+        return ASIDE if tag == "article" and not own and any(map(SOLD.fullmatch, aside)) else 1
+    if tag in ASIDE_TAGS or aside and not own:
+        return VEILED if outer == VEILED else ASIDE
     if tag == "header":
-        return outer if outer == 1 else ASIDE
-    if tag in CONTENT_TAGS or named and outer == 0 and CONTENT_HINT.search(named):
+        return outer if outer in (1, VEILED) else ASIDE
+    if outer == 0 and any(map(CONTENT_HINT.search, named)) or outer == ASIDE and any(map(CONTENT_NAME.fullmatch, hints)):
         return 1
     return outer
 

@@ -106,4 +106,15 @@ a river mouth and to those who live by it</a> <a href="/s">Seven walks along the
 hour by the colour of the mud and need no clock, though most of them carry one.</p></body>""",
      frozenset({"At the river mouth the tide turns twice a day, and twice a day the whole bay holds its breath for as long as it takes to drink a "
                 "glass of water.", "Those who fish there know the hour by the colour of the mud and need no clock, though most of them carry one."})),
+    ("""<body class="single has-sidebar"><nav><a href="/">Blog</a></nav><article id="post-7" class="post hentry category-legal tag-social-media comments-open">
+<h1>A lease in one page</h1><div class="entry-content"><p>The landlord wrote it by hand on the back of a tide table, and in nine years neither of us
+found a case that it did not cover.</p><p>Rent on Fridays.</p></div></article><section class="comments-area"><article class="comment-body"><p>Mine has
+forty pages and says nothing at all about the roof, which is the only thing that ever breaks.</p></article></section></body>""",
+     frozenset({"A lease in one page", "The landlord wrote it by hand on the back of a tide table, and in nine years neither of us found a case "
+                "that it did not cover.", "Rent on Fridays."})),
+    ("""<body><div class="menu"><a href="/">Mill</a></div><div class="content with-sidebar"><h1>Flour again</h1><p>The stones were dressed in March
+and the first sacks of the year went down the hill on Thursday behind the grey mare.</p><p>Rye follows.</p></div><div class="sidebar"><p>Open to visitors on
+the last Sunday of every month from ten until the wheel stops.</p></div></body>""",
+     frozenset({"Flour again", "The stones were dressed in March and the first sacks of the year went down the hill on Thursday behind the grey "
+                "mare.", "Rye follows."})),
 )

@@ -263,6 +263,22 @@ def test_tree_learns_its_table(spark):
         assert {x for x in html.main_text(page, tree).split("\n") if x} == article
 
 
+def test_classes_of_blog_engines(spark):
+    text = "The well was dug by hand in a single dry summer and has never failed since.\nIt is deep."
+    body = "".join(f"<p>{t}</p>" for t in text.split("\n"))
+    inside = ["<article class='post category-legal'>{}</article>", "<article class='post hentry tag-social-media'>{}</article>",
+              "<article class='post tag-search-engines'>{}</article>", "<main class='no-sidebar'>{}</main>", "<div class='content with-sidebar'>{}</div>",
+              "<article class='post comments-open'>{}</article>", "<article class='legal'><div class='entry-content'>{}</div></article>",
+              "<div class='has-comments'><div class='post-content'>{}</div></div>", "<form class='search'><div class='entry-content'>{}</div></form>"]
+    aside = ["<article class='comment-body'>{}</article>", "<article class='post related-post'>{}</article>", "<article class='ad'>{}</article>",
+             "<div class='content-ad'>{}</div>", "<div style='display:none'><div class='entry-content'>{}</div></div>",
+             "<div class='sidebar'><div class='content'>{}</div></div>", "<aside><div class='entry-content'>{}</div></aside>"]
+    tree = html.trained_tree(spark)
+    page = "<body><nav><a href=/>Home</a></nav>{}<footer>Foot</footer></body>"
+    assert [x for x in inside if html.main_text(page.format(x.format(body)), tree) != text] == []
+    assert [x for x in aside if html.main_text(page.format(x.format(body)), tree) != ""] == []
+
+
 # -- packing ----------------------------------------------------------------------------------
 
 
