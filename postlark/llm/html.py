@@ -22,7 +22,8 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
                    "strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNREAD = frozenset("script style head title noscript template svg math iframe object textarea select canvas audio video".split())
-RAW = frozenset("script style title textarea noscript iframe template svg math".split())
+RAW = frozenset("script style title textarea noscript iframe template".split())
+FOREIGN = {t: re.compile(rf"<(/?){t}(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.I) for t in ("svg", "math")}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ASIDE_TAGS = frozenset("nav footer aside form menu dialog button fieldset".split())
 CONTENT_TAGS = frozenset("article main".split())
@@ -81,6 +82,21 @@ def _place(tag: str, attributes: str, outer: int) -> int:
     return outer
 
 
+def _after_foreign(html: str, tag: str, at: int) -> int:
+    """Where the svg or math element that was opened before ``at`` ends; where its nesting is never closed, at its first
+    end tag, and without any at the page's end."""
+    depth, first = 1, len(html)
+    for m in FOREIGN[tag].finditer(html, at):
+        if m[1]:
+            depth -= 1
+            first = min(first, m.end())
+            if not depth:
+                return m.end()
+        elif not m[2].endswith("/"):
+            depth += 1
+    return first
+
+
 def blocks(html: str) -> list[tuple[str, int, int, int, int, int]]:
     """The page's texts between block-level tags, in order: text, words, words in links, place, whether a heading, whether
     a list item.
@@ -122,6 +138,9 @@ def blocks(html: str) -> list[tuple[str, int, int, int, int, int]]:
         tag = name.lower()
         if not m[0].endswith(">"):
             break
+        if not closing and tag in FOREIGN:
+            at = at if attributes.endswith("/") else _after_foreign(html, tag, at)
+            continue
         if not closing and tag in RAW:
             ended = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
             at = ended.end() if ended else size

@@ -263,6 +263,15 @@ def test_tree_learns_its_table(spark):
         assert {x for x in html.main_text(page, tree).split("\n") if x} == article
 
 
+def test_empty_and_nested_drawings():
+    def texts(page):
+        return [b[0] for b in html.blocks(page)]
+
+    assert texts("<p>one <svg class='x'/>two</p><p>three <math/>four</p>") == ["one two", "three four"]
+    assert texts("<p>a<svg><svg><text>no</text></svg><text>no</text><svg viewBox='0 > 1'/></svg>b</p><p>c</p>") == ["ab", "c"]
+    assert texts("<p>a<SVG><svg><text>no</text></svg>b</p>") == ["ab"] and texts("<p>a</p><svg><p>no") == ["a"]
+
+
 def test_classes_of_blog_engines(spark):
     text = "The well was dug by hand in a single dry summer and has never failed since.\nIt is deep."
     body = "".join(f"<p>{t}</p>" for t in text.split("\n"))
