@@ -138,8 +138,12 @@ def edited(text: Column, following: Column) -> Column:
 
 def fingerprint_documents(docs: DataFrame, every: int = 20) -> DataFrame:
     """For each document its fingerprint, that of its edited text and the likeness to it and to the next document's; for
-    those whose id is divisible by ``every`` also ``n_within``, how many other fingerprints lie within the radius (null
-    for the others).
+    those whose id is divisible by ``every`` also ``n_within``, how many other fingerprints lie within the radius, and
+    ``found`` (both null for the others).
+
+    ``class_id`` is the smallest id with the same fingerprint (null where none of them has an id). ``found`` holds, in order,
+    the ids of the classes within the radius, the document's own among them if other rows are in it; a class without
+    an id is counted in ``n_within`` but has none to hold. So each link within the radius can be read off, copies included.
 
     Null text is empty and has the fingerprint 0. The next document is that with the next smaller id; null ids stand
     last; rows with the same id stand by a hash of their text, and equal ones are each other's next. A single row is its own
@@ -162,12 +166,19 @@ def fingerprint_documents(docs: DataFrame, every: int = 20) -> DataFrame:
     known = prints.filter(F.col("_version") == 0).groupBy(F.col("k1").alias("next_k1"), F.col("k2").alias("next_k2")).agg(
         F.first("fingerprint").alias("_next"))
     own = prints.filter(F.col("_version") == 0)
-    hits = within_radius(own.filter(F.col("doc_id") % every == 0), own).groupBy(F.col("query").alias("_own")).agg(
-        F.count(F.lit(1)).alias("_hits"))
+    classes = stage(own.groupBy(F.col("fingerprint").alias("_own")).agg(
+        F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("_members")), "fingerprint_classes")
+    near = within_radius(own.filter(F.col("doc_id") % every == 0), own).join(
+        classes.select(F.col("_own").alias("found"), "class_id"), "found")
+    hits = near.groupBy(F.col("query").alias("_own")).agg(
+        F.count(F.lit(1)).alias("_hits"), F.collect_list("class_id").alias("_classes"))
+    none = F.array().cast("array<bigint>")
+    alike = F.when(F.col("_members") > 1, F.array("class_id")).otherwise(none)
     return (
-        rows.join(known, ["next_k1", "next_k2"]).join(hits, "_own", "left")
+        rows.join(known, ["next_k1", "next_k2"]).join(classes, "_own").join(hits, "_own", "left")
         .select("doc_id", "n_chars", "edited_sha256", as_hex(F.col("_own")).alias("fingerprint"),
                 as_hex(F.col("_edited")).alias("edited_fingerprint"), likeness(F.col("_own"), F.col("_edited")).alias("near_edited"),
                 likeness(F.col("_own"), F.col("_next")).alias("near_next"),
-                F.when(F.col("doc_id") % every == 0, F.coalesce("_hits", F.lit(0))).alias("n_within"))
+                F.when(F.col("doc_id") % every == 0, F.coalesce("_hits", F.lit(0))).alias("n_within"), "class_id",
+                F.when(F.col("doc_id") % every == 0, F.sort_array(F.concat(alike, F.coalesce("_classes", none)))).alias("found"))
     )

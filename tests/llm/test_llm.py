@@ -151,6 +151,28 @@ def test_fingerprints_against_a_plain_version(spark, odd):
         assert (r.n_within is None) == (r.doc_id is None or r.doc_id % 20 != 0)
 
 
+def test_found_classes_hold_copies_and_near_ones(spark, odd):
+    long = [f"w{i}" for i in range(4000)]
+    rows = [(60, "one text of its own", "en", "a"), (61, "one text of its own", "en", "b"), (62, "one text of its own", "en", "c"),
+            (80, " ".join(long), "en", "a"), (81, " ".join([*long[:-1], "z"]), "en", "a"), (100, "nothing like it here at all", "en", "a"),
+            (None, "nothing like it there at all", "en", "a"), (None, "one text of its own", "en", "a")]
+    got = fingerprints.fingerprint_documents(documents(spark, rows).unionByName(odd)).collect()
+    ids = defaultdict(list)
+    for r in got:
+        ids[r.fingerprint].append(r.doc_id)
+    class_of = {f: min((i for i in x if i is not None), default=None) for f, x in ids.items()}
+    for r in got:
+        assert r.class_id == class_of[r.fingerprint]
+        if r.doc_id is None or r.doc_id % 20:
+            assert r.found is None
+        else:
+            near = [f for f in ids if f != r.fingerprint and bin(int(f, 16) ^ int(r.fingerprint, 16)).count("1") <= 3]
+            want = [class_of[f] for f in near if class_of[f] is not None] + [class_of[r.fingerprint]] * (len(ids[r.fingerprint]) > 1)
+            assert r.found == sorted(want) and r.n_within == len(near)
+    found = {r.doc_id: r.found for r in got}
+    assert found[60] == [60] and found[100] == [] and found[80]
+
+
 def test_single_and_no_rows_have_fingerprints(spark, empty):
     one = fingerprints.fingerprint_documents(documents(spark, [(5, "a b c d e f", "en", "a")])).first()
     assert one.near_next == 1.0 and one.edited_sha256 == hashlib.sha256(b"a b c d a b").hexdigest()
