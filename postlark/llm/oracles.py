@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from postlark.llm import lines, quality
+from postlark.llm import clusters, lines, negatives, quality
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -130,8 +130,61 @@ WITH RECURSIVE worded AS (
 SELECT doc_id, len(shingles)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM runs JOIN least USING (doc_id)
 """
 
+_FINITE = "embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x)))"
+
+_ROUNDS = "".join(f"""
+), distances{i} AS (
+    SELECT r, c, sum((x - m) * (x - m)) AS distance FROM components JOIN centroids{i} USING (d) GROUP BY r, c
+), assigned{i} AS MATERIALIZED (
+    SELECT r, c, distance FROM distances{i} QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, c) = 1
+), centroids{i + 1} AS MATERIALIZED (
+    SELECT c, d, CASE WHEN n IS NULL THEN m ELSE (s - (s % n + n) % n) // n END AS m
+    FROM centroids{i} LEFT JOIN (
+        SELECT c, d, sum(x) AS s, count(*) AS n FROM assigned{i} JOIN components USING (r) GROUP BY c, d) USING (c, d)"""
+                  for i in range(clusters.ROUNDS + 1))
+
+CLUSTERS = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({clusters.SCALE} * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings WHERE len(embedding) = {clusters.DIMS} AND {_FINITE}
+), components AS MATERIALIZED (
+    SELECT r, unnest(range({clusters.DIMS})) AS d, unnest(v) AS x FROM kept
+), centroids0 AS MATERIALIZED (
+    SELECT c, unnest(range({clusters.DIMS})) AS d, unnest(v) AS m FROM (
+        SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v FROM kept) WHERE c < {clusters.CLUSTERS}{_ROUNDS}
+), named AS (
+    SELECT c, sha256(string_agg(m::VARCHAR, ',' ORDER BY d)) AS centroid_sha256 FROM centroids{clusters.ROUNDS} GROUP BY c
+)
+SELECT vec_id, c::INT AS cluster, distance::BIGINT AS distance, (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+    (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM assigned{clusters.ROUNDS} JOIN kept USING (r) JOIN named USING (c)
+"""
+
+HARD_NEGATIVES = f"""
+WITH taken AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor({negatives.SCALE} * x::DOUBLE)) AS v
+    FROM embeddings WHERE label IS NOT NULL AND {_FINITE}
+), scored AS MATERIALIZED (
+    SELECT a.r AS a, a.vec_id AS anchor_id, a.label = b.label AS same, b.r AS b, b.vec_id AS other_id,
+        list_dot_product(a.v, b.v)::BIGINT AS score
+    FROM taken a JOIN taken b ON a.vec_id % 100 = 0 AND a.r <> b.r
+), positives AS (
+    SELECT * FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, other_id) <= {negatives.POSITIVES}
+)
+SELECT p.anchor_id, p.other_id AS positive_id,
+    row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.other_id)::INT AS rank,
+    n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.a = p.a AND NOT n.same
+    AND {negatives.LEAST_PERCENT} * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= {negatives.NEGATIVES}
+"""
+
 ORACLES: dict[str, str] = {
     "op4_quality": QUALITY,
     "op9_spread_lines": SPREAD_LINES,
     "op10_near_duplicates": NEAR_DUPLICATES,
+    "op12_clusters": CLUSTERS,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlark.llm import fingerprints, html, licenses, lines, minhash, mixing, packing, quality, sharding, warc
+from postlark.llm import (clusters, fingerprints, html, licenses, lines, minhash, mixing, negatives, packing, quality, sharding,
+                          warc)
 from postlark.llm.common import n_words
 from postlark.session import stage
 
@@ -82,6 +83,15 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"), percent=85)
 
 
+def op12_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return clusters.cluster(_table(spark, folder, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(_table(spark, folder, "embeddings").withColumn("label", moved))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_interleave": op1_interleave,
     "op2_licenses": op2_licenses,
@@ -93,4 +103,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixture": op8_mixture,
     "op9_spread_lines": op9_spread_lines,
     "op10_near_duplicates": op10_near_duplicates,
+    "op12_clusters": op12_clusters,
+    "op13_hard_negatives": op13_hard_negatives,
 }
