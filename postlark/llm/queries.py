@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlark.llm import (clusters, fingerprints, html, licenses, lines, minhash, mixing, negatives, packing, quality, sharding,
-                          warc)
+                          toxicity, warc)
 from postlark.llm.common import n_words
 from postlark.session import stage
 
@@ -83,6 +83,13 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"), percent=85)
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, folder, "labels").select("doc_id", "toxic"), learn=~held_out)
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", "hits")
+
+
 def op12_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return clusters.cluster(_table(spark, folder, "embeddings"))
 
@@ -103,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixture": op8_mixture,
     "op9_spread_lines": op9_spread_lines,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_toxicity": op11_toxicity,
     "op12_clusters": op12_clusters,
     "op13_hard_negatives": op13_hard_negatives,
 }
