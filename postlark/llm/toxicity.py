@@ -67,6 +67,7 @@ class Lexicon:
     """
 
     terms: list[Term]
+    every: bool = False  # also what weighs nothing is found
     children: list[dict[str, int]] = field(default_factory=lambda: [{}])
     words: dict[int, int] = field(default_factory=dict)
     prefixes: dict[int, int] = field(default_factory=dict)
@@ -88,6 +89,7 @@ class Lexicon:
 
     def _forget(self) -> None:
         self.states: list[frozenset] = []
+        self.ends: list[tuple[tuple[int, float, int], tuple[int, float, int]]] = []  # the best term begun with, and whole
         self.number: dict[frozenset, int] = {}
         self.steps: dict[tuple[int, str], int] = {}
         self.start = self._state({(0, 0, "")})
@@ -106,6 +108,7 @@ class Lexicon:
         if state not in self.number:
             self.number[state] = len(self.states)
             self.states.append(state)
+            self.ends.append((self._best(state, self.prefixes), self._best(state, self.words)))
         return self.number[state]
 
     def _step(self, state: int, letter: str) -> int:
@@ -132,8 +135,10 @@ class Lexicon:
             found = self.prefixes.get(node, found)
         return self.words.get(node, found)
 
-    def _best(self, state: int, table: dict[int, int], best: tuple[int, float, int]) -> tuple[int, float, int]:
-        for node, spent, awaited in self.states[state]:
+    def _best(self, state: frozenset, table: dict[int, int]) -> tuple[int, float, int]:
+        """(edits, -weight, term) of the best term that the state accepts."""
+        best = (9, 0.0, -1)
+        for node, spent, awaited in state:
             term = table.get(node, -1)
             if not awaited and term >= 0 and spent <= self.terms[term].edits:
                 best = min(best, (spent, -self.terms[term].weight, term))
@@ -143,28 +148,42 @@ class Lexicon:
         """The term that the word, or its beginning, is within the term's edits of, fewest edits first; and the edits."""
         if len(self.steps) > REMEMBERED:
             self._forget()
-        state, best = self.start, (9, 0.0, -1)
+        state, best, steps, ends = self.start, (9, 0.0, -1), self.steps, self.ends
         for letter in word:
-            key = (state, letter)
-            if key not in self.steps:
-                self.steps[key] = self._step(state, letter)
-            state = self.steps[key]
+            after = steps.get((state, letter))
+            if after is None:
+                after = steps[state, letter] = self._step(state, letter)
+            state = after
             if not self.states[state]:
                 break
-            best = self._best(state, self.prefixes, best)
-        best = self._best(state, self.words, best)
+            if ends[state][0] < best:
+                best = ends[state][0]
+        best = min(best, ends[state][1])
         return (best[2], best[0]) if best[2] >= 0 else None
 
     def find(self, word: str) -> tuple[int, int] | None:
-        """(term, edits) of a word, remembered for the words last met."""
+        """(term, edits) of a word, if they weigh anything; remembered for the words last met."""
         if word not in self.met:
             if len(self.met) > REMEMBERED:
                 self.met.clear()
             term = self.exact(word)
-            self.met[word] = (term, 0) if term >= 0 else self.misspelt(word)
+            hit = (term, 0) if term >= 0 else self.misspelt(word)
+            if hit and not self.every and not (self.terms[hit[0]].fuzzy if hit[1] else self.terms[hit[0]].weight):
+                hit = None
+            self.met[word] = hit
         return self.met[word]
 
 
+_LAST: list[Lexicon] = []
+
+
+def lexicon_of(terms: list[Term]) -> Lexicon:
+    """The lexicon of the terms, kept for the worker's next task."""
+    if not _LAST or _LAST[0].terms != terms:
+        _LAST[:] = [Lexicon(terms)]
+    return _LAST[0]
+
+
 @dataclass
 class Model:
     terms: list[Term]
@@ -222,7 +241,7 @@ def choose_terms(counts: dict[tuple[str, bool], tuple[int, int]], toxics: int, c
     """The terms of counts (toxic and clean documents) by (text, whole word).
 
     Common in toxic documents against clean ones, and not merely the beginning of one longer term that has nearly all of
-    its documents. Longer ones within a term that lack its odds become exceptions, which weigh nothing, since the longest match decides.
+    its documents.
     """
     least = max(MIN_DOCUMENTS, toxics / RARE)
     longer: dict[str, int] = defaultdict(int)
@@ -233,12 +252,22 @@ def choose_terms(counts: dict[tuple[str, bool], tuple[int, int]], toxics: int, c
     chosen = {
         (text, whole) for (text, whole), (toxic, _) in counts.items()
         if toxic >= least and odds[text, whole] >= TERM_ODDS and (whole or longer[text] < 0.9 * toxic)}
-    prefixes = {text for text, whole in chosen if not whole}
-    exceptions = {
-        (text, whole) for (text, whole), n in counts.items()
-        if (text, whole) not in chosen and odds[text, whole] < EXCEPTION_ODDS and sum(n) >= MIN_DOCUMENTS
-        and any(text[:k] in prefixes for k in range(SHORTEST_TERM, len(text) + whole))}
-    return [Term(text, whole, odds[text, whole] if (text, whole) in chosen else 0.0) for text, whole in sorted(chosen | exceptions)]
+    return [Term(text, whole, odds[text, whole]) for text, whole in sorted(chosen)]
+
+
+def exceptions(terms: list[Term], counts: dict[tuple[str, bool], tuple[int, int]], toxics: int, cleans: int) -> list[Term]:
+    """Longer keys within a term that lack its odds. They weigh nothing, and since the longest match decides, nor do words
+    that they match."""
+    chosen = {(t.text, t.whole) for t in terms}
+    prefixes = {t.text for t in terms if not t.whole}
+    return [
+        Term(text, whole, 0.0) for (text, whole), n in sorted(counts.items())
+        if (text, whole) not in chosen and sum(n) >= MIN_DOCUMENTS and _odds(*n, toxics, cleans) < EXCEPTION_ODDS
+        and any(text[:k] in prefixes for k in range(SHORTEST_TERM, len(text) + whole))]
+
+
+def _by_key(rows: DataFrame) -> dict[tuple[str, bool], tuple[int, int]]:
+    return {(r.text, r.whole): (r.toxic, r.clean) for r in rows.collect()}
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +292,7 @@ def _misspelt(terms: list[Term]):
     """How many toxic and clean documents have each misspelt word, with its term."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(terms)
+        lexicon = Lexicon(terms, every=True)
         counts: dict[tuple[int, str], list[int]] = defaultdict(lambda: [0, 0])
         for batch in batches:
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
@@ -281,7 +310,7 @@ def _misspelt(terms: list[Term]):
 
 def _featured(terms: list[Term]):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(terms)
+        lexicon = lexicon_of(terms)
         for batch in batches:
             found = [evidence(text, lexicon)[0] for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(found, pa.list_(pa.float64()))], names=["label", "features"])
@@ -361,11 +390,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, key: st
     if toxics and cleans:
         counted = for_terms.mapInArrow(_counted, "text string, whole boolean, toxic long, clean long").groupBy("text", "whole").agg(
             F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        often = counted.filter((F.col("toxic") >= MIN_DOCUMENTS) | (F.col("clean") >= MIN_DOCUMENTS))  # bounded by the sample
-        likely = often.filter(F.col("toxic") * cleans >= F.col("clean") * toxics).select(
-            F.substring("text", 1, SHORTEST_TERM).alias("stem")).distinct()
-        terms = choose_terms({(r.text, r.whole): (r.toxic, r.clean) for r in often.withColumn(
-            "stem", F.substring("text", 1, SHORTEST_TERM)).join(likely, "stem", "left_semi").collect()}, toxics, cleans)
+        counted = stage(counted.filter(F.col("toxic") + F.col("clean") >= MIN_DOCUMENTS), "term_counts")
+        share = (F.col("toxic") + 0.5) / (toxics + 1) / ((F.col("clean") + 0.5) / (cleans + 1))
+        likely = counted.filter((F.col("toxic") >= MIN_DOCUMENTS * 0.9) & (share >= math.exp(TERM_ODDS) * 0.8))  # bounded by the sample
+        chosen = choose_terms(_by_key(likely), toxics, cleans)
+        stems = sorted({t.text[:SHORTEST_TERM] for t in chosen if not t.whole})
+        within = counted.filter(F.substring("text", 1, SHORTEST_TERM).isin(stems)) if stems else counted.limit(0)
+        terms = chosen + exceptions(chosen, _by_key(within), toxics, cleans)
         terms = _weigh_misspelt(for_terms, terms, toxics, cleans)
     shown = rows.filter("part = 0").select("text", "label").mapInArrow(_featured(terms), "label int, features array<double>").collect()
     x = np.array([r.features for r in shown]).reshape(-1, len(FEATURES))
@@ -408,7 +439,7 @@ def score(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), text
     terms = model.terms
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(terms)
+        lexicon = lexicon_of(terms)
         kind = pa.list_(pa.struct([("start", pa.int32()), ("word", pa.string()), ("term", pa.string()), ("edits", pa.int32()), ("quoted", pa.bool_())]))
         for batch in batches:
             if batch.num_rows:

@@ -59,7 +59,7 @@ LETTERS = st.text("abc", min_size=1, max_size=11)
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.tuples(LETTERS, st.booleans()), min_size=1, max_size=6, unique=True), st.lists(LETTERS, min_size=1, max_size=8))
 def test_automata_find_what_edit_distances_say(keys, words):
-    lexicon = Lexicon([Term(text, whole, 3.0 + i) for i, (text, whole) in enumerate(keys)])
+    lexicon = Lexicon([Term(text, whole, 3.0 + i) for i, (text, whole) in enumerate(keys)], every=True)
     for word in words:
         begun = [t for t in lexicon.terms if t.text == word or (not t.whole and word.startswith(t.text))]
         near = []
@@ -80,10 +80,11 @@ def test_automata_find_what_edit_distances_say(keys, words):
 def test_forgetting_changes_nothing(monkeypatch):
     terms = [Term(w, True, 4.0) for w in INSULTS] + [Term("bom", False, 3.0)]
     words = ["zarqod", "blihtermug", "snotfaces", "bomber", "none", "snotafce", "bonber"] * 2
-    expected = [Lexicon(terms).find(w) for w in words]
+    expected = [Lexicon(terms, every=True).find(w) for w in words]
     monkeypatch.setattr(toxicity, "REMEMBERED", 3)
-    lexicon = Lexicon(terms)
+    lexicon = Lexicon(terms, every=True)
     assert [lexicon.find(w) for w in words] == expected and expected[0] == (0, 1) and expected[4] is None
+    assert lexicon.find("zarqod") and not Lexicon(terms).find("zarqod") and Lexicon(terms).find("zarquod") == (0, 0)  # weighs nothing
 
 
 def test_the_learned_terms_and_scores(spark, model):
