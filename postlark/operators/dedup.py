@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlark.functions.links import first_link, repeat_key
+from postlark.session import stage
+from postlark.sources import keyindex, versions
 
 
 def with_repeat_key(posts: DataFrame, text: str = "text") -> DataFrame:
@@ -26,9 +28,10 @@ def first_arrivals(posts: DataFrame, by: tuple[str, ...] = ("created_at", "id"))
     return posts.withColumn("_rn", F.row_number().over(arrival)).filter("_rn = 1").drop("_rn")
 
 
-def stored_keys(documents: DataFrame) -> DataFrame:
+def stored_keys(documents: DataFrame, *keep: str) -> DataFrame:
     """Repeat keys of stored documents: of the link where one is stored, of the hash otherwise."""
     return documents.select(
+        *keep,
         F.when(F.col("link") != "", F.concat(F.lit("L:"), F.col("link")))
         .otherwise(F.concat(F.lit("H:"), F.col("hash")))
         .alias("repeat_key")
@@ -40,6 +43,19 @@ def new_posts(posts: DataFrame, documents: DataFrame, by: tuple[str, ...] = ("cr
     return first_arrivals(posts, by).join(stored_keys(documents), "repeat_key", "left_anti")
 
 
+def unseen_posts(posts: DataFrame, root: str, batch_id: int | None = None, by: tuple[str, ...] = ("created_at", "id")) -> DataFrame:
+    """First arrivals that no stored document of another batch repeats, by the store's key index.
+
+    The distinct keys of the posts ask the index's filters, and of the stored keys only the buckets that may hold one of
+    them are read. A post whose text is null has no key and is kept.
+    """
+    spark = posts.sparkSession
+    first = stage(first_arrivals(posts, by).select("*", *keyindex.key_hashes(F.col("repeat_key"))), "arrivals")
+    now = versions.read_version(spark, root)
+    known = keyindex.known(first.select("k1", "k2").dropna().distinct(), root, now, without=batch_id)
+    return first.join(known, ["k1", "k2"], "left_anti").select(*[c for c in first.columns if c not in ("k1", "k2")])
+
+
 def insert_status(posts: DataFrame, documents: DataFrame, by: tuple[str, ...] = ("created_at", "id")) -> DataFrame:
     """Every post with ``inserted`` or ``duplicate``.
 

@@ -1,9 +1,12 @@
 """The document table, the graph tables and the bot scores as Parquet folders.
 
-Every write belongs to a batch, has a folder of its own and replaces it whole, so a batch that is
-run again after a lost executor or driver leaves the tables as a single run would, also where the
-second run chose other rows or days. No write reads the graph tables: a vertex may stand in several
-batches, and readers take each once.
+Every write belongs to a batch and replaces it whole, so a batch that is run again after a lost
+executor or driver leaves the tables as a single run would, also where the second run chose other
+rows or days. No write reads the graph tables: a vertex may stand in several batches, and readers
+take each once.
+
+Documents and the index of their repeat keys are committed together, as versions (``versions``):
+compaction, retention and appending streams may run side by side, and a reader sees one version.
 """
 
 from __future__ import annotations
@@ -12,8 +15,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postlark.operators import graph
+from postlark.operators.dedup import stored_keys
 from postlark.operators.documents import SCORE_FIELDS, retain, write_back_scores
 from postlark.session import stage
+from postlark.sources import keyindex, versions
+from postlark.sources.versions import Conflict, Part, Version
+
+DOCUMENTS = "documents"
+INDEXED = (DOCUMENTS, keyindex.KEYS, keyindex.FILTERS)
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 _USER = "struct<id:bigint,screen_name:string,name:string,location:string>"
 _METADATA = "struct<avg_tweet_freq:bigint,avg_tweet_reg:bigint,tweet_freq_variance:bigint,is_bot:boolean>"
@@ -39,26 +49,35 @@ VERTEX_KEYS = {"persons": "person_key", "posts": "post_key", "tags": "name"}
 EDGE_KEYS = {"posted": ["person_key", "tweet_id", "relation"], "tagged": ["tweet_id", "tag"]}
 
 
-def _days(name: str) -> list[str]:
-    return ["created_date"] if name == "documents" else []
-
-
 def create(spark: SparkSession, root: str) -> None:
     """Lay down empty tables so that readers find them before the first batch."""
     for name, schema in SCHEMAS.items():
-        spark.createDataFrame([], f"{schema}, batch_id bigint").write.mode("append").partitionBy(
-            "batch_id", *_days(name)
-        ).parquet(f"{root}/{name}")
+        if name != DOCUMENTS:
+            spark.createDataFrame([], f"{schema}, batch_id bigint").write.mode("append").partitionBy("batch_id").parquet(f"{root}/{name}")
+
+
+def read(spark: SparkSession, root: str, name: str, version: Version | None = None) -> DataFrame:
+    """A table as it is now; the documents of a version, by default of the newest."""
+    schema = f"{SCHEMAS[name]}, batch_id bigint"
+    if name == DOCUMENTS:
+        return _documents(spark, root, (version or versions.read_version(spark, root)).of(DOCUMENTS))
+    return spark.read.schema(schema).parquet(f"{root}/{name}")
 
 
-def read(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.schema(f"{SCHEMAS[name]}, batch_id bigint").parquet(f"{root}/{name}")
+def _documents(spark: SparkSession, root: str, parts: list[Part]) -> DataFrame:
+    schema = f"{SCHEMAS[DOCUMENTS]}, batch_id bigint"
+    rows = versions.read_parts(spark, root, DOCUMENTS, schema, parts)
+    return rows.select(*spark.createDataFrame([], schema).columns)
+
+
+def read_batch(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    """The documents of a batch."""
+    return _documents(spark, root, [p for p in versions.read_version(spark, root).of(DOCUMENTS) if p.batch == batch_id])
 
 
 def write_batch(df: DataFrame, root: str, name: str, batch_id: int) -> None:
     """Replace the batch's folder."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(*_days(name)).parquet(f"{root}/{name}/batch_id={batch_id}")
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/{name}/batch_id={batch_id}")
 
 
 def other_batches(df: DataFrame, batch_id: int) -> DataFrame:
@@ -66,9 +85,35 @@ def other_batches(df: DataFrame, batch_id: int) -> DataFrame:
     return df.filter(F.col("batch_id") != batch_id)
 
 
-def append_documents(documents: DataFrame, root: str, batch_id: int) -> None:
-    """Insert the documents of a batch, partitioned by day so retention drops whole days."""
-    write_batch(documents.withColumn("created_date", F.to_date("created_at")), root, "documents", batch_id)
+def append_documents(documents: DataFrame, root: str, batch_id: int) -> Version:
+    """Insert the documents of a batch with their repeat keys, cut by day so that retention drops whole days."""
+    spark = documents.sparkSession
+    rows = documents.withColumns({"created_date": F.to_date("created_at"), "batch_id": F.lit(batch_id).cast("bigint")})
+    parts = versions.write_parts(rows, root, DOCUMENTS, cut="created_date", batches="batch_id")
+    keyed = stored_keys(_documents(spark, root, parts), "created_at").select(*keyindex.key_hashes(F.col("repeat_key")), "created_at")
+    once = keyed.groupBy("k1", "k2").agg(F.when(~F.max(F.col("created_at").isNull()), F.max("created_at")).alias("created_at"))
+    parts += keyindex.write_keys(once, root, batch_id)
+    return versions.commit(spark, root, versions.replacing_batch(batch_id, INDEXED, parts))
+
+
+def compact_documents(spark: SparkSession, root: str, below: int) -> None:
+    """Merge the documents of batches below ``below`` (above 0, all of them ended) by day, and their keys.
+
+    The merged rows have the negative of ``below`` as their batch. Where retention has taken a folder away meanwhile, the
+    work begins again from what it left; folders that are added meanwhile stay as they are.
+    """
+    while True:
+        now = versions.read_version(spark, root)
+        old = [p for p in now.of(DOCUMENTS) if p.batch < below]
+        try:
+            if len({p.folder.split("/")[1] for p in old}) > 1:
+                rows = _documents(spark, root, old).withColumn("batch_id", F.lit(-below).cast("bigint"))
+                merged = versions.write_parts(rows.hint("rebalance", "created_date"), root, DOCUMENTS, cut="created_date", batches="batch_id")
+                versions.commit(spark, root, versions.replacing(old, merged))
+            keyindex.compact_keys(spark, root, below)
+            return
+        except Conflict:
+            continue
 
 
 def append_graph(rows: DataFrame, root: str, batch_id: int) -> None:
@@ -125,24 +170,34 @@ def compact_graph(spark: SparkSession, root: str, below: int) -> None:
 
 
 def purge_documents(spark: SparkSession, root: str, cutoff: Column) -> None:
-    """Retention on the stored documents: folders of days before the cutoff's day go, those of that day are rewritten.
+    """Retention on the stored documents: the folders of days before the cutoff's day go, those of that day are rewritten,
+    and keys of documents that went are not known any more.
 
-    Younger days and documents without a time are not touched. Not to be run while a stream writes to the store.
+    Younger days and documents without a time are not touched. A stream may go on writing: a batch that lands meanwhile
+    is looked at too before this ends. Files are left to ``vacuum``, so readers keep the version that they look at.
     """
-    day = str(spark.range(1).select(F.to_date(cutoff).alias("day")).first().day)
-    files, folders = _folders(spark, f"{root}/documents/batch_id=*/created_date=*")
-    dated = {folder: folder.getName().split("=", 1)[1] for folder in folders}
-    for folder in folders:
-        if dated[folder] != "__HIVE_DEFAULT_PARTITION__" and dated[folder] < day:
-            files.delete(folder, True)
-    on_the_day = read(spark, root, "documents").filter(F.col("created_date") == F.lit(day).cast("date"))
-    kept = stage(retain(on_the_day, cutoff), "purge")
-    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "batch_id", "created_date").parquet(f"{root}/documents")
-    left = {row.batch_id for row in kept.select("batch_id").distinct().collect()}  # a row for each batch of one day
-    for folder in folders:
-        if dated[folder] == day and int(folder.getParent().getName().split("=", 1)[1]) not in left:
-            files.delete(folder, True)
+    at = spark.range(1).select(F.to_date(cutoff).alias("day"), F.date_format(cutoff, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("time")).first()
+    seen: set[Part] = set()
+    while True:
+        now = versions.read_version(spark, root)
+        dated = [p for p in now.of(DOCUMENTS) if p.value != NO_DAY]
+        old = [p for p in dated if p.value < str(at.day)]
+        of_day = [p for p in dated if p.value == str(at.day) and p not in seen]
+        if not old and not of_day and now.settings.get("cutoff", "") >= at.time:
+            return
+        kept = versions.write_parts(
+            retain(_documents(spark, root, of_day), cutoff), root, DOCUMENTS, cut="created_date", batches="batch_id") if of_day else []
+        try:
+            latest = max(at.time, now.settings.get("cutoff", ""))
+            versions.commit(spark, root, versions.replacing([*old, *of_day], kept, cutoff=latest))
+        except Conflict:
+            continue
+        seen.update(kept)
+
+
+def vacuum(spark: SparkSession, root: str, versions_kept: int = 10, older_ms: int = 24 * 3600 * 1000) -> None:
+    """Delete the files that none of the last versions names."""
+    versions.vacuum(spark, root, INDEXED, versions_kept, older_ms)
 
 
 def append_scores(scores: DataFrame, root: str, run: int) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from postlark.operators.dedup import new_posts, with_repeat_key
+from postlark.operators.dedup import unseen_posts, with_repeat_key
 from postlark.operators.documents import to_documents
 from postlark.operators.features import with_tokens
 from postlark.operators.filters import accepted, has_keyword, in_language_and_long, score_or_zero
@@ -63,13 +63,10 @@ def store_batch(
     sites: Sequence[str] = AGGREGATOR_SITES,
 ) -> None:
     """Decode, score, drop repeats of the batch and of the stored documents, store the rest."""
-    spark = batch.sparkSession
     decoded = decode_messages(batch)
     write_rejects(rejected_messages(decoded), root, batch_id)
     wanted = accepted(score(valid_posts(decoded), model))
-    known = stores.other_batches(stores.read(spark, root, "documents"), batch_id)
-    fresh = new_posts(with_repeat_key(wanted), known)
-    store_new(fresh, batch_id, root, sites)
+    store_new(unseen_posts(with_repeat_key(wanted), root, batch_id), batch_id, root, sites)
 
 
 def store_new(
@@ -77,8 +74,7 @@ def store_new(
 ) -> None:
     """Store documents, then the graph from the stored documents."""
     stores.append_documents(to_documents(fresh, sites), root, batch_id)
-    stored = stores.read(fresh.sparkSession, root, "documents").filter(F.col("batch_id") == batch_id)
-    stores.append_graph(graph_rows(stored), root, batch_id)
+    stores.append_graph(graph_rows(stores.read_batch(fresh.sparkSession, root, batch_id)), root, batch_id)
 
 
 def write_rejects(rejects: DataFrame, root: str, batch_id: int) -> None:
