@@ -43,6 +43,7 @@ SCHEMAS = {
     "tags": "name string",
     "posted": f"person_key string, tweet_id string, relation string, {_TIMES}",
     "tagged": f"tweet_id string, tag string, {_TIMES}",
+    "counts": "messages bigint, rejected bigint, late bigint, stored bigint",
     "scores": "user_id bigint, avg_tweet_freq bigint, avg_tweet_reg bigint, tweet_freq_variance bigint, is_bot boolean",
 }
 VERTEX_KEYS = {"persons": "person_key", "posts": "post_key", "tags": "name"}
@@ -116,6 +117,39 @@ def compact_documents(spark: SparkSession, root: str, below: int) -> None:
             continue
 
 
+def first_batch(spark: SparkSession, root: str, checkpoint: str) -> int:
+    """The number that the first batch of a stream has in the store: a stream with a new checkpoint goes on behind the
+    batches that are there, one that was there before keeps its number."""
+    name = f"first batch of {checkpoint}"
+
+    def change(now: Version) -> tuple[list[Part], dict[str, str]]:
+        own = str(1 + max((p.batch for p in now.parts), default=-1))
+        return list(now.parts), now.settings if name in now.settings else now.settings | {name: max(own, "0", key=int)}
+
+    known = versions.read_version(spark, root)
+    if name not in known.settings:
+        known = versions.commit(spark, root, change)
+    return int(known.settings[name])
+
+
+def write_counts(spark: SparkSession, root: str, batch_id: int, seen: dict) -> None:
+    """What was counted of a batch's messages, and how many documents of it are stored."""
+    stored = read_batch(spark, root, batch_id).count()
+    row = [(seen.get("messages") or 0, seen.get("rejected") or 0, seen.get("late") or 0, stored)]
+    write_batch(spark.createDataFrame(row, SCHEMAS["counts"]), root, "counts", batch_id)
+
+
+def is_whole(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder was written to its end."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+
+
 def append_graph(rows: DataFrame, root: str, batch_id: int) -> None:
     """Add the batch's vertices and edges."""
     for name, build in (("persons", graph.persons), ("posts", graph.posts), ("tags", graph.tags)):

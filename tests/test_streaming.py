@@ -1,4 +1,5 @@
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,9 +72,12 @@ def test_word_count_on_a_stream(spark, arriving):
     for frame in arriving:
         frame.select("text").write.mode("append").parquet(path)
     stream = spark.readStream.schema("text string").option("maxFilesPerTrigger", "2").parquet(path)
-    got = streams.run_counts(features.word_count(stream), scratch_path(spark, "n"), scratch_path(spark, "ck"))
+    got = streams.run_counts(stream, scratch_path(spark, "n"), scratch_path(spark, "ck"))
     expected = features.word_count(union(arriving))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+    each = streams.run_batch_counts(stream, scratch_path(spark, "n"), scratch_path(spark, "ck")).collect()
+    assert len({r.batch_id for r in each}) > 1 and len(each) == len({(r.batch_id, r.word) for r in each})
+    assert sum(r.n for r in each) == sum(r.n for r in expected.collect())
 
 
 def test_the_store_job_stores_what_the_batch_would(spark, arriving, inbox, model):
@@ -97,7 +101,8 @@ def test_the_store_job_stores_what_the_batch_would(spark, arriving, inbox, model
 def test_the_store_job_by_state_stores_the_same(spark, arriving, inbox, model):
     root = scratch_path(spark, "store")
     read = lambda: messages.read_message_files(spark, inbox, maxFilesPerTrigger="1")
-    streams.start_store_by_state(read(), model, root, scratch_path(spark, "ck"), interval=None).awaitTermination()
+    for query in streams.start_store_by_state(read(), model, root, scratch_path(spark, "ck"), interval=None):
+        query.awaitTermination()
     streams.start_rejects(read(), root, scratch_path(spark, "ck"), interval=None).awaitTermination()
     wanted = streams.accepted(streams.score(union(arriving), model))
     expected = dedup.first_arrivals(wanted)
@@ -108,6 +113,81 @@ def test_the_store_job_by_state_stores_the_same(spark, arriving, inbox, model):
     assert spark.read.parquet(f"{root}/rejects").count() == 3
 
 
+def stored_ids(spark, root):
+    return sorted(r.post_id for r in stores.read(spark, root, "documents").collect())
+
+
+def test_a_new_checkpoint_admits_no_stored_post(spark, arriving, inbox, model):
+    """Both store jobs, started anew over a filled store, with one more file of which one post is new."""
+    root, more = scratch_path(spark, "store"), scratch_path(spark, "more")
+    read = lambda path: messages.read_message_files(spark, path)
+    streams.start_store(read(inbox), model, root, scratch_path(spark, "ck"), interval=None).awaitTermination()
+    before = stored_ids(spark, root)
+    repeat = [r for r in union(arriving).collect() if r.id in before][0]
+    for n in (900, 901):
+        fresh = posts(spark, post(n, f"great career job opening apply {n}" + LONG), post(n + 10, repeat.text))
+        messages.write_message_files(fresh.coalesce(1), more)
+        if n == 900:
+            for query in streams.start_store_by_state(read(more), model, root, scratch_path(spark, "ck"), interval=None):
+                query.awaitTermination()
+        else:
+            streams.start_store(read(more), model, root, scratch_path(spark, "ck"), interval=None).awaitTermination()
+        assert stored_ids(spark, root) == before + list(range(900, n + 1))
+
+
+def test_state_forgets_after_the_horizon(spark):
+    """Earliest of a batch wins, known keys are dropped, and forgotten ones come again."""
+    inbox = scratch_path(spark, "slim")
+    slim = "k1 long, k2 long, created_at timestamp, id long, file string"
+    stored = spark.createDataFrame([(7, 7)], "k1 long, k2 long")
+    rounds = [[(1, 1, 5), (1, 1, 3), (7, 7, 1)], [(1, 1, 2), (2, 2, 9)], [(7, 7, 8)]]
+
+    def run(horizon):
+        checkpoint, out = scratch_path(spark, "ck"), []
+        for rows in rounds:
+            frame = spark.createDataFrame([(a, b, i, i, "f") for a, b, i in rows], "k1 long, k2 long, s long, id long, file string")
+            path = f"{inbox}{horizon}"
+            frame.select("k1", "k2", F.timestamp_seconds("s").alias("created_at"), "id", "file").coalesce(1).write.mode("append").parquet(path)
+            found = streams.first_arrivals_by_state(spark.readStream.schema(slim).parquet(path), stored, horizon, int(time.time() * 1000))
+            found.writeStream.foreachBatch(lambda b, _: out.extend(r.id for r in b.collect())).option(
+                "checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        return sorted(out)
+
+    assert run(10**10) == [3, 9]
+    assert run(1) == [1, 2, 3, 8, 9] or run(1) == [2, 3, 8, 9]  # a horizon of a millisecond blocks nothing that comes later
+
+
+def test_table_models_score_batches_as_they_score_tables(spark, arriving, inbox):
+    docs = features.with_tokens(spark.createDataFrame(CORPUS, "id bigint, text string, label double"))
+    tables = classify.train_tables(docs, scratch_path(spark, "tables"))
+    decoded = messages.valid_posts(messages.decode_messages(messages.read_message_files(spark, inbox, maxFilesPerTrigger="1")))
+    got = streams.run_scores(decoded, tables, scratch_path(spark, "out"), scratch_path(spark, "ck"))
+    expected = streams.score(union(arriving), tables).select("id", "matched", "prediction")
+    assert got.select("batch_id").distinct().count() == 3
+    assert sorted(map(tuple, got.drop("batch_id").collect())) == sorted(map(tuple, expected.collect()))
+    root = scratch_path(spark, "store")
+    streams.start_store(messages.read_message_files(spark, inbox, maxFilesPerTrigger="1"), tables, root, scratch_path(spark, "ck"), interval=None).awaitTermination()
+    wanted = dedup.first_arrivals(streams.accepted(streams.score(union(arriving), tables)))
+    assert stored_ids(spark, root) == sorted(r.id for r in wanted.collect())
+    counts = stores.read(spark, root, "counts").agg(F.sum("messages"), F.sum("rejected"), F.sum("late"), F.sum("stored")).first()
+    assert tuple(counts) == (18, 3, 15, len(stored_ids(spark, root)))
+
+
+def test_a_batch_that_dies_between_its_writes_is_made_whole(spark, arriving, inbox, model, monkeypatch):
+    """The first run stops after the documents are committed and before the graph is written; the next one mends it."""
+    root, checkpoint = scratch_path(spark, "store"), scratch_path(spark, "ck")
+    read = lambda: messages.read_message_files(spark, inbox, maxFilesPerTrigger="1")
+    with monkeypatch.context() as broken:
+        broken.setattr(stores, "append_graph", lambda *_: 1 / 0)
+        with pytest.raises(Exception, match="division by zero"):
+            streams.start_store(read(), model, root, checkpoint, interval=None).awaitTermination()
+    assert stores.read(spark, root, "posts").count() == 0 < len(stored_ids(spark, root))
+    streams.start_store(read(), model, root, checkpoint, interval=None).awaitTermination()
+    expected = dedup.first_arrivals(streams.accepted(streams.score(union(arriving), model)))
+    assert stored_ids(spark, root) == sorted(r.id for r in expected.collect())
+    assert stores.read(spark, root, "posts").count() == len(stored_ids(spark, root))
+
+
 def test_bot_check_job(spark):
     history = spark.createDataFrame(
         [(u, f"2024-01-01 00:{m:02d}:00", u * 100 + m) for u in range(3) for m in range(0, 30, 10)],
