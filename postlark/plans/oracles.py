@@ -268,6 +268,24 @@ arriving AS (SELECT * FROM keyed WHERE created_at >= TIMESTAMP '{DAY_ELEVEN}'),
 {_first("arriving", "arrived")},
 fresh AS (SELECT * FROM arrived WHERE repeat_key NOT IN (SELECT repeat_key FROM stored_posts))"""
 
+_WANTED = f"""wanted AS (
+  SELECT *, {_TEXT_KEYWORD} AS matched FROM keyed WHERE lang = 'en'
+    AND length(text) + length(regexp_replace(text, '[^\\x{{10000}}-\\x{{10FFFF}}]', '', 'g')) > 80)"""
+_TEXTS = """texts AS (
+  SELECT 'd' || doc_id AS doc_id, text FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)
+  UNION ALL SELECT DISTINCT md5(text), text FROM wanted WHERE matched)"""
+# The model as above, over the labelled documents and the posts that have a keyword.
+_POST_MODEL = MODEL.replace("SELECT doc_id, CAST(quality", "SELECT 'd' || documents.doc_id AS doc_id, CAST(quality").replace(
+    TRAINING, TRAINING.replace("doc_id", "documents.doc_id")).replace("FROM documents d", "FROM texts d").replace(
+    "FROM documents JOIN labels USING (doc_id)", "FROM documents JOIN labels ON labels.doc_id = documents.doc_id")
+_POST_SCORES = f"""post_scores AS (
+  SELECT w.*, CASE WHEN matched THEN p.prediction ELSE 0.0::DOUBLE END AS prediction
+  FROM wanted w LEFT JOIN predicted p ON p.doc_id = w.hash)"""
+SCORED_POSTS = (POSTS, LINKED, KEYED, _WANTED, _TEXTS, _cleaned("texts"), TOKENS, STEMS, TERMS, _POST_MODEL, _POST_SCORES)
+_ACCEPTED = "accepted AS (SELECT * FROM post_scores WHERE prediction = 1 AND favorites % 7 NOT IN (0, 1, 2))"
+STORED_POSTS = (*SCORED_POSTS, _ACCEPTED, _first("accepted", "winners"))
+_BATCH = "CASE WHEN created_at < TIMESTAMP '2024-01-11' THEN 0 WHEN created_at < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END"
+
 ORACLES: dict[str, str] = {
     "bot_cadence": _with(_scores(), select=_ALL_SCORES),
     "bot_cadence_scaled": _with(_scores(_SCALED), select=_ALL_SCORES),
@@ -449,5 +467,34 @@ GROUP BY post_id""",
   strftime(make_timestamp(turn * 1000000), '%a %b %d %H:%M:%S +0000 %Y') AS created_at, '' AS location, text
 FROM conversations""",
     "stream_dedup": _with(POSTS, LINKED, KEYED, select="SELECT DISTINCT repeat_key FROM keyed"),
+    "stream_word_count_batches": """SELECT batch_id, word, count(*) AS n FROM (
+  SELECT CAST(floor(doc_id * 3 / (SELECT count(*) FROM documents)) AS BIGINT) AS batch_id, unnest(string_split(text, ' ')) AS word
+  FROM documents) GROUP BY ALL""",
+    "stream_score": _with(*SCORED_POSTS, select="SELECT id, matched, prediction FROM post_scores"),
+    "stream_store": _with(
+        *STORED_POSTS,
+        select="""SELECT id AS post_id, CAST(tweet_id AS VARCHAR) AS tweet_id, coalesce(link, '') AS link, hash, third_party
+FROM winners""",
+    ),
+    "stream_store_counts": _with(
+        *STORED_POSTS,
+        select=f"""SELECT batch_id, CAST(messages AS BIGINT) AS messages, CAST(rejected AS BIGINT) AS rejected, coalesce(stored, 0) AS stored
+FROM (SELECT CAST({_BATCH} AS BIGINT) AS batch_id, count(*) FILTER (favorites % 7 <> 2) AS messages,
+    count(*) FILTER (favorites % 7 IN (0, 1)) AS rejected FROM posts GROUP BY ALL)
+LEFT JOIN (SELECT CAST({_BATCH} AS BIGINT) AS batch_id, count(*) AS stored FROM winners GROUP BY ALL) USING (batch_id)""",
+    ),
+    "stream_store_by_state": _with(
+        *STORED_POSTS, ROWS, EXPLODED, TAGGED, select="SELECT tweet_id, tag FROM tagged"
+    ),
+    "store_upkeep": _with(
+        POSTS, LINKED, KEYED, _first("keyed", "winners"),
+        select=f"""SELECT id AS post_id, hash, {_BATCH} < 2 AS merged FROM winners
+WHERE created_at >= TIMESTAMP '{RETENTION_NOW}' - INTERVAL 30 DAY""",
+    ),
+    "store_bot_check": _with(
+        POSTS, LINKED, KEYED, _first("keyed", "winners"), _scores(),
+        select="""SELECT id AS post_id, avg_tweet_freq, avg_tweet_reg, tweet_freq_variance, is_bot
+FROM winners LEFT JOIN scores USING (user_id)""",
+    ),
 }
 ORACLES["stream_word_count"] = ORACLES["word_count"]

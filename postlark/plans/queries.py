@@ -15,7 +15,7 @@ from postlark.operators.aggregators import flag_aggregators
 from postlark.operators.documents import retain, retention_cutoff, to_documents, write_back_scores
 from postlark.plans import jobs
 from postlark.session import scratch_path, stage
-from postlark.sources import corpus, messages, search, stores
+from postlark.sources import corpus, keyindex, messages, search, stores, versions
 from postlark.sources.tables import history, labelled_documents, load, post_stream, posts
 from postlark.streaming import jobs as streams
 
@@ -322,8 +322,13 @@ def _split_by_time(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFra
 
 @query
 def dedup_vs_store(spark: SparkSession, folder: str) -> DataFrame:
+    """Arriving posts against the key index of the stored ones."""
+    root = scratch_path(spark, "store")
     stored, arriving = _split_by_time(spark, folder)
-    return dedup.new_posts(arriving, stored).select("id", "repeat_key")
+    hashes = dedup.stored_keys(stored, "created_at").select(*keyindex.key_hashes(F.col("repeat_key")), "created_at")
+    parts = keyindex.write_keys(hashes, root, 0)
+    versions.commit(spark, root, versions.replacing_batch(0, (keyindex.KEYS, keyindex.FILTERS), parts))
+    return dedup.unseen_posts(arriving, root).select("id", "repeat_key")
 
 
 @query
@@ -441,6 +446,10 @@ def recommend(spark: SparkSession, folder: str) -> DataFrame:
 
 def _damaged(spark: SparkSession, folder: str) -> DataFrame:
     """Messages of all posts, some damaged: no base64, no JSON, or null."""
+    return _damaged_messages(posts(spark, folder))
+
+
+def _damaged_messages(every: DataFrame) -> DataFrame:
     fields = F.struct(*messages.POST_FIELDS)
     kind = F.col("favorites") % 7
     value = (
@@ -448,7 +457,7 @@ def _damaged(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == 1, F.base64(F.lit("{bad").cast("binary")))
         .when(kind != 2, messages.encode_post(fields))
     )
-    return posts(spark, folder).select(F.col("id").alias("message"), value.alias("value"))
+    return every.select(F.col("id").alias("message"), value.alias("value"))
 
 
 @query
@@ -503,13 +512,31 @@ def search_flatten(spark: SparkSession, folder: str) -> DataFrame:
 # -- streams ----------------------------------------------------------------------------------
 
 
+def _thirds(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents' texts as files that a stream takes in three batches, by id."""
+    path = scratch_path(spark, "thirds")
+    docs = load(spark, folder, "documents")
+    n = docs.select(F.count(F.lit(1))).scalar()
+    third = F.floor(F.col("doc_id") * 3 / n).cast("int")
+    docs.select("text", third.alias("third")).write.partitionBy("third").parquet(path)
+    return spark.readStream.schema("text string, third int").parquet(path).select("text", "third")
+
+
 @query
 def stream_word_count(spark: SparkSession, folder: str) -> DataFrame:
-    schema = load(spark, folder, "documents").schema
-    lines = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(folder)
-    return streams.run_counts(
-        features.word_count(lines), scratch_path(spark, "counts"), scratch_path(spark, "checkpoint")
-    )
+    return streams.run_counts(_thirds(spark, folder), scratch_path(spark, "counts"), scratch_path(spark, "checkpoint"))
+
+
+@query
+def stream_word_count_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The words of each of three batches; the stream runs three times, each time over one more third."""
+    path, checkpoint, inbox = (scratch_path(spark, name) for name in ("counts", "checkpoint", "inbox"))
+    docs = load(spark, folder, "documents").select("doc_id", "text")
+    n = docs.select(F.count(F.lit(1))).scalar()
+    for third in range(3):
+        docs.filter(F.floor(F.col("doc_id") * 3 / n) == third).select("text").write.mode("append").parquet(inbox)
+        found = streams.run_batch_counts(spark.readStream.schema("text string").parquet(inbox), path, checkpoint)
+    return found.select("batch_id", "word", "n")
 
 
 @query
@@ -520,34 +547,79 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_score(spark: SparkSession, folder: str) -> DataFrame:
-    scored = streams.score(post_stream(spark, folder), _fitted(spark, folder))
-    return streams.run_to_files(
-        scored.select("id", "matched", "prediction"),
-        scratch_path(spark, "scored"), scratch_path(spark, "checkpoint"),
-    )
+    """Streamed posts scored by the model of tables, batch by batch."""
+    return streams.run_scores(
+        post_stream(spark, folder), _model(spark, folder), scratch_path(spark, "scored"), scratch_path(spark, "checkpoint"),
+    ).select("id", "matched", "prediction")
+
+
+DAYS_OF_BATCHES = ("2024-01-01", "2024-01-11", "2024-01-21", "2025-01-01")
+
+
+def _by_days(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """All posts in the order of time, in three parts."""
+    every = posts(spark, folder)
+    created = F.col("created_at")
+    return [every.filter((created >= _at(a)) & (created < _at(b))) for a, b in zip(DAYS_OF_BATCHES, DAYS_OF_BATCHES[1:])]
+
+
+def _fed(spark: SparkSession, folder: str, start) -> str:
+    """A store that a streaming job has filled: it is started again for each of three deliveries of messages."""
+    inbox, root, checkpoint = (scratch_path(spark, name) for name in ("inbox", "store", "checkpoint"))
+    model = _model(spark, folder)
+    for part in _by_days(spark, folder):
+        _damaged_messages(part).select("value").dropna().write.mode("append").text(inbox)
+        running = start(messages.read_message_files(spark, inbox), model, root, checkpoint, interval=None, sites=SURROGATE_SITES)
+        for query_ in running if isinstance(running, list) else [running]:
+            query_.awaitTermination()
+    return root
 
 
 @query
 def stream_store(spark: SparkSession, folder: str) -> DataFrame:
     """Messages in files through the whole streaming job; what the document table then holds."""
-    inbox, root = scratch_path(spark, "inbox"), scratch_path(spark, "store")
-    _damaged(spark, folder).select("value").dropna().write.text(inbox)
-    running = streams.start_store(
-        messages.read_message_files(spark, inbox), _fitted(spark, folder), root,
-        scratch_path(spark, "checkpoint"), interval=None, sites=SURROGATE_SITES,
-    )
-    running.awaitTermination()
+    root = _fed(spark, folder, streams.start_store)
     return stores.read(spark, root, "documents").select("post_id", "tweet_id", "link", "hash", "third_party")
 
 
+@query
+def stream_store_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What the job counted of each batch's messages."""
+    return stores.read(spark, _fed(spark, folder, streams.start_store), "counts").select("batch_id", "messages", "rejected", "stored")
+
+
 @query
 def stream_store_by_state(spark: SparkSession, folder: str) -> DataFrame:
     """The same with the repeats known to Spark's state; what the tag edges then are."""
-    inbox, root = scratch_path(spark, "inbox"), scratch_path(spark, "store")
-    _damaged(spark, folder).select("value").dropna().write.text(inbox)
-    running = streams.start_store_by_state(
-        messages.read_message_files(spark, inbox), _fitted(spark, folder), root,
-        scratch_path(spark, "checkpoint"), interval=None, sites=SURROGATE_SITES,
-    )
-    running.awaitTermination()
-    return stores.read_edges(spark, root, "tagged").select("tweet_id", "tag")
+    return stores.read_edges(spark, _fed(spark, folder, streams.start_store_by_state), "tagged").select("tweet_id", "tag")
+
+
+def _filled(spark: SparkSession, folder: str) -> str:
+    """A store of all posts but repeats, in three batches."""
+    root = scratch_path(spark, "store")
+    stores.create(spark, root)
+    for batch_id, part in enumerate(_by_days(spark, folder)):
+        keyed = dedup.with_repeat_key(part)
+        stores.append_documents(to_documents(dedup.unseen_posts(keyed, root, batch_id), SURROGATE_SITES), root, batch_id)
+    return root
+
+
+@query
+def store_upkeep(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents of a store after compaction, retention and the removal of old files."""
+    root = _filled(spark, folder)
+    stores.compact_documents(spark, root, 2)
+    stores.purge_documents(spark, root, retention_cutoff(_at(RETENTION_NOW)))
+    stores.vacuum(spark, root, versions_kept=1, older_ms=0)
+    return stores.read(spark, root, "documents").select("post_id", "hash", (F.col("batch_id") < 0).alias("merged"))
+
+
+@query
+def store_bot_check(spark: SparkSession, folder: str) -> DataFrame:
+    """The scores on the documents of a store, after a run over a batch of people and one over the others."""
+    root = _filled(spark, folder)
+    rows = graph.graph_rows(stores.read(spark, root, "documents"))
+    stores.append_graph(rows, root, 0)
+    for run, batch in enumerate((PEOPLE_BATCH, None)):
+        jobs.check_store(spark, root, history(spark, folder), run, batch)
+    return stores.scored_documents(spark, root).select("post_id", "metadata.*")
