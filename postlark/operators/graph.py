@@ -16,6 +16,7 @@ from postlark.functions.links import hashtags
 from postlark.functions.times import epoch_ms
 from postlark.operators.documents import SCORE_FIELDS
 from postlark.operators.joins import count_rows, lookup
+from postlark.session import stage
 
 # Relation names.
 POSTED = "TWEETED"
@@ -94,9 +95,59 @@ def tagged(rows: DataFrame) -> DataFrame:
     )
 
 
+SHARE = 1 / 1000
+LEAST_CELL = 256
+RANGES = 256
+_TIES = 4096  # vertices of one time are told apart by so many hashes
+
+
+def _cells(edges: DataFrame, vertices: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges and vertices (tweet_id, at) with the cell (tweet_id, part, salt) in which they meet.
+
+    An id with more than a thousandth of the vertices is cut into ranges of time at quantiles, one with more than a
+    thousandth of the edges into as many groups of edges. A vertex goes to all groups of its range, an edge to all ranges up
+    to its own, so each pair meets in one cell and no cell holds more than a thousandth of either side (or LEAST_CELL rows).
+    There are fewer than 2,000 such ids, which bounds what is broadcast.
+    """
+    sides = vertices.groupBy("tweet_id").agg(F.count(F.lit(1)).alias("n_v"), F.lit(0).cast("long").alias("n_e")).unionByName(
+        edges.groupBy("tweet_id").agg(F.lit(0).cast("long").alias("n_v"), F.count(F.lit(1)).alias("n_e")))
+    counts = stage(sides.groupBy("tweet_id").agg(F.sum("n_v").alias("n_v"), F.sum("n_e").alias("n_e")), "degrees")
+    whole = counts.agg(F.sum("n_v").alias("n_v"), F.sum("n_e").alias("n_e")).first()
+    most_v, most_e = (max(LEAST_CELL, int((n or 0) * SHARE)) for n in (whole.n_v, whole.n_e))
+    hot = counts.filter((F.col("n_v") > most_v) | (F.col("n_e") > most_e)).select(
+        "tweet_id", F.ceil(F.greatest(F.col("n_v") / most_v, F.lit(1))).cast("int").alias("ranges"),
+        F.ceil(F.greatest(F.col("n_e") / most_e, F.lit(1))).cast("int").alias("groups"))
+    cuts = vertices.join(F.broadcast(hot.select("tweet_id")), "tweet_id", "left_semi").groupBy("tweet_id").agg(
+        F.percentile_approx("at", [i / RANGES for i in range(1, RANGES)], 10_000).alias("cuts"))
+    plan = F.broadcast(stage(hot.join(cuts, "tweet_id", "left"), "hot_ids"))
+
+    def placed(side: DataFrame, at: str) -> DataFrame:
+        below = F.coalesce(F.size(F.filter("cuts", lambda c: c < F.col(at))), F.lit(0))
+        ranges = F.least(F.coalesce("ranges", F.lit(1)), F.lit(RANGES))
+        range_ = F.floor(F.greatest(below, F.lit(0)) * ranges / RANGES).cast("int")
+        finer = F.ceil(F.coalesce("ranges", F.lit(1)) / RANGES).cast("int")
+        return side.join(plan, "tweet_id", "left").select(
+            *side.columns, range_.alias("_range"), finer.alias("_finer"), F.coalesce("groups", F.lit(1)).alias("_groups"))
+
+    each = F.sequence(F.lit(0), F.col("_groups") - 1)
+    right = placed(vertices, "at").select(
+        *vertices.columns, (F.col("_range") * F.col("_finer") + F.pmod(F.xxhash64("post_key"), F.col("_finer"))).cast("int").alias("part"),
+        F.explode(each).alias("salt"))
+    names = [c for c in edges.columns if c != "tweet_id"]
+    reached = F.sequence(F.lit(0), (F.col("_range") + 1) * F.col("_finer") - 1)
+    left = placed(edges, "until").select(
+        *edges.columns, F.pmod(F.xxhash64(*names), F.col("_groups")).cast("int").alias("salt"), F.explode(reached).alias("part"))
+    return left, right
+
+
 def _reached(edges: DataFrame, post_vertices: DataFrame) -> DataFrame:
-    vertices = post_vertices.select(F.col("id").alias("tweet_id"), "created_ms", "post_key")
-    return edges.join(vertices, "tweet_id").filter(F.col("created_ms") <= F.col("last_ms"))
+    """Each edge with the vertices of its post id that there were when it was last made."""
+    at = F.col("created_ms") * _TIES + F.pmod(F.xxhash64("post_key"), F.lit(_TIES))
+    vertices = stage(post_vertices.select(F.col("id").alias("tweet_id"), at.alias("at"), "post_key").dropna(subset=["tweet_id", "at"]), "vertices")
+    until = F.col("last_ms") * _TIES + _TIES - 1
+    kept = stage(edges.dropna(subset=["tweet_id", "last_ms"]).withColumn("until", until), "edges")
+    left, right = _cells(kept, vertices)
+    return left.join(right, ["tweet_id", "part", "salt"]).filter(F.col("at") <= F.col("until"))
 
 
 def posted_vertices(edges: DataFrame, post_vertices: DataFrame) -> DataFrame:

@@ -400,6 +400,12 @@ FROM found""",
 FROM arriving a LEFT JOIN stored_keys s ON s.repeat_key = a.repeat_key""",
     ),
     "aggregator_flag": _with(POSTS, LINKED, select="SELECT id, third_party FROM linked"),
+    "aggregator_flag_table": _with(
+        POSTS,
+        """flagged AS (SELECT source, bool_or(contains(lower(source), site)) AS third_party
+  FROM (SELECT DISTINCT source FROM posts) CROSS JOIN (SELECT lang || '/' || doc_id AS site FROM documents) GROUP BY source)""",
+        select="SELECT id, third_party FROM posts JOIN flagged USING (source)",
+    ),
     "post_document": _with(
         POSTS, LINKED,
         select="""SELECT id AS post_id, source, CAST(tweet_id AS VARCHAR) AS tweet_id, text,

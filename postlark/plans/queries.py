@@ -343,6 +343,13 @@ def aggregator_flag(spark: SparkSession, folder: str) -> DataFrame:
     return flag_aggregators(posts(spark, folder), SURROGATE_SITES).select("id", "third_party")
 
 
+@query
+def aggregator_flag_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with a name for each document, its language and id, looked for in the posts' sources."""
+    names = load(spark, folder, "documents").select(F.concat_ws("/", "lang", "doc_id").alias("site"))
+    return flag_aggregators(posts(spark, folder).select("id", "source"), names).select("id", "third_party")
+
+
 @query
 def post_document(spark: SparkSession, folder: str) -> DataFrame:
     return to_documents(posts(spark, folder), SURROGATE_SITES).select(

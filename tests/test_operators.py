@@ -389,3 +389,35 @@ def test_redelivered_post_is_inserted_once(spark):
     stored = spark.createDataFrame([("y", "h")], "link string, hash string")
     status = sorted((r.id, r.status) for r in dedup.insert_status(posts, stored).collect())
     assert status == [(1, "duplicate"), (1, "inserted"), (2, "duplicate"), (3, "duplicate")]
+
+
+@pytest.mark.parametrize("same_time", [False, True])
+def test_edges_of_a_hot_post_meet_its_vertices_in_even_cells(spark, same_time):
+    """One id has a third of all posts, at different times or all at one."""
+    n = 6000
+    hot = F.col("id") % 3 == 0
+    base = spark.range(n).select("id", F.when(hot, 0).otherwise(F.col("id") / 7).cast("int").cast("string").alias("tweet_id"))
+    when = F.lit(10**12) if same_time else 10**12 + F.col("id") * 31
+    vertices = base.select(F.col("tweet_id").alias("id"), when.alias("created_ms"), F.md5(F.col("id").cast("string")).alias("post_key"))
+    edges = base.select(
+        F.concat(F.lit("p"), F.col("id")).alias("person_key"), "tweet_id", F.lit("TWEETED").alias("relation"), when.alias("first_ms"),
+        (when + F.col("id") % 50 * (0 if same_time else 997)).alias("last_ms"))
+    got = graph.posted_vertices(edges, vertices).select("person_key", "post_key")
+    v, plain = vertices.withColumnRenamed("id", "tweet_id"), None
+    plain = edges.join(v, "tweet_id").filter("created_ms <= last_ms").select("person_key", "post_key")
+    assert got.count() == plain.count() > n * 100 and got.exceptAll(plain).count() == 0
+    at = F.col("created_ms") * 4096 + F.pmod(F.xxhash64("post_key"), F.lit(4096))
+    left, right = graph._cells(
+        edges.withColumn("until", F.col("last_ms") * 4096 + 4095), v.select("tweet_id", at.alias("at"), "post_key"))
+    for side, most in ((left, 2 * 256), (right, 2 * 256)):
+        sizes = sorted(r["count"] for r in side.filter("tweet_id = '0'").groupBy("part", "salt").count().collect())
+        assert len(sizes) > 8 and sizes[-1] <= most and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_edges_without_vertices_or_ids(spark):
+    edges = spark.createDataFrame(
+        [("p", "1", "TWEETED", 1, 5), ("q", None, "TWEETED", 1, 5), ("r", "9", "TWEETED", 1, 5), ("s", "1", "TWEETED", 1, 2)],
+        "person_key string, tweet_id string, relation string, first_ms long, last_ms long")
+    vertices = spark.createDataFrame([("1", 3, "a"), ("1", 6, "b"), ("1", None, "c"), (None, 1, "d"), ("1", 5, "e")], "id string, created_ms long, post_key string")
+    assert sorted(map(tuple, graph.posted_vertices(edges, vertices).collect())) == [("p", "a", "TWEETED"), ("p", "e", "TWEETED")]
+    assert graph.posted_vertices(edges.limit(0), vertices).count() == graph.posted_vertices(edges, vertices.limit(0)).count() == 0

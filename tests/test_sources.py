@@ -74,17 +74,28 @@ def test_search_responses(spark, tmp_path):
     assert (row.id, row.text, row.label) == (5, "Hiring now", 0.0)
 
 
-def test_site_list(spark, tmp_path):
-    (tmp_path / "sites.txt").write_text("a.com\n\n b.com \ny+z\n")
-    listed = sites.site_list(sites.read_sites(spark, str(tmp_path)))
-    posts = spark.createDataFrame([("x", "via A.com"), ("y", "c.com"), ("z", None), ("za", "axcom"), ("zb", "an y+z job")], "id string, source string")
-    flagged = aggregators.flag_aggregators(posts, listed).orderBy("id").collect()
-    assert [r.third_party for r in flagged] == [True, False, False, False, True]
-    none = sites.site_list(sites.read_sites(spark, str(tmp_path)).limit(0))
-    assert not any(r.third_party for r in aggregators.flag_aggregators(posts, none).collect())
+def test_a_table_of_sites(spark, tmp_path):
+    (tmp_path / "sites.txt").write_text("a.com\n\n b.com \ny+z\nq\n")
+    listed = sites.read_sites(spark, str(tmp_path))
+    rows = [("x", "via A.com"), ("y", "c.com"), ("z", None), ("za", "axcom"), ("zb", "an y+z job"), ("zc", ""), ("zd", "Q"), ("ze", "y+ +z")]
+    posts = spark.createDataFrame(rows, "id string, source string")
+    flagged = aggregators.flag_aggregators(posts, listed)
+    assert flagged.columns == ["id", "source", "third_party"]
+    assert [r.third_party for r in flagged.orderBy("id").collect()] == [True, False, False, False, True, False, True, False]
+    assert not any(r.third_party for r in aggregators.flag_aggregators(posts, listed.limit(0)).collect())
+    assert aggregators.flag_aggregators(posts.limit(0), listed).count() == 0
     assert len(sites.AGGREGATOR_SITES) == len(set(sites.AGGREGATOR_SITES)) == 70
 
 
+def test_a_hundred_thousand_sites(spark):
+    """A third of all posts have one source; the table's answer is the literal rule's."""
+    listed = spark.range(100_000).select(F.concat(F.lit("site"), F.col("id") * 7, F.lit(".example")).alias("site"))
+    number = F.when(F.col("id") % 3 == 0, 77).otherwise(F.col("id"))
+    posts = spark.range(3000).select("id", F.concat(F.lit("<a href=http://Site"), number, F.lit(".example>")).alias("source"))
+    got = {r.id: r.third_party for r in aggregators.flag_aggregators(posts, listed).collect()}
+    assert got == {i: i % 3 == 0 or i % 7 == 0 for i in range(3000)}
+
+
 def test_training_job(spark, tmp_path):
     texts = [("we are hiring apply now", 1), ("lovely weather at work", 0)]
     lines = [f"u|#|{i}|#|Tue Jul 07 16:16:57 +0000 2015|#||#|{texts[i % 2][0]}|#|{texts[i % 2][1]}" for i in range(60)]
