@@ -211,41 +211,87 @@ def names(person_vertices: DataFrame, post_vertices: DataFrame, tag_vertices: Da
     )
 
 
-def recommend(rows: DataFrame, k: int = 5) -> DataFrame:
+HEAVY_TAGS = 10
+
+
+def _best_of(rows: DataFrame, group: str, k: int, *order: Column) -> DataFrame:
+    """The first ``2k`` rows of a group with at most ``k`` of each author: enough for the best ``k`` of others, whoever asks."""
+    of_author = Window.partitionBy(group, "author").orderBy(*order)
+    of_group = Window.partitionBy(group).orderBy(*order)
+    return (
+        rows.withColumn("_rn", F.row_number().over(of_author)).filter(F.col("_rn") <= k)
+        .withColumn("_rn", F.row_number().over(of_group)).filter(F.col("_rn") <= 2 * k).drop("_rn")
+    )
+
+
+def _submasks(mask: str, n: int) -> Column:
+    return F.explode(F.filter(F.sequence(F.lit(1), F.lit((1 << n) - 1)), lambda x: x.bitwiseAND(F.col(mask)) == x))
+
+
+def recommend(rows: DataFrame, k: int = 5, heavy: int = HEAVY_TAGS) -> DataFrame:
     """(person_id, rank, post_id, shared): for each person, the ``k`` posts of others that share most
     of the person's tags, newer ones first among equals.
 
-    Posts with the same set of tags share the same number with a person, so tags are counted per
-    person and set. A person's best posts lie in their best ``k`` sets, ordered by that number and
-    the set's newest post that is not their own; and of a set no more is needed than its newest 2k
-    posts with at most k of each author, since own posts take up k of them at most. Work grows with
-    the pairs of a person and a set that share a tag, not with the posts.
+    The ``heavy`` tags that would pair most persons with most sets of tags are bits of a mask and paired with nobody. Posts
+    that share another tag with a person are found by joining on it, per person and set of tags: a person's best posts lie
+    in their best ``k`` sets, and of a set no more is needed than its newest 2k posts with at most k of each author. For
+    posts that share heavy tags only, masks meet by the parts that they have in common, of which there are at most
+    3 ** heavy whatever the data. A post found both ways counts with the larger number, the exact one.
     """
-    posts = rows.select(
+    posts = stage(rows.select(
         "person_id", "post_id", "created_ms", F.sort_array(F.array_distinct("tags")).alias("tags")
-    ).filter(F.size("tags") > 0).distinct()
+    ).filter(F.size("tags") > 0).distinct(), "tagged_posts")
+    of_person = posts.select("person_id", F.explode("tags").alias("tag")).distinct().groupBy("tag").agg(F.count(F.lit(1)).alias("n_p"))
+    of_set = posts.select("tags").distinct().select(F.explode("tags").alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n_s"))
+    pairs = F.col("n_p").cast("double") * F.col("n_s")
+    hot = [r.tag for r in of_person.join(of_set, "tag").orderBy(pairs.desc(), "tag").limit(heavy).collect()]
+    bits = [F.when(F.array_contains("tags", tag), F.lit(1 << i)).otherwise(F.lit(0)) for i, tag in enumerate(hot)]
+    mask = sum(bits, F.lit(0))
+    rest = F.array_except("tags", F.array(*map(F.lit, hot)).cast("array<string>"))
     newest = [F.desc("created_ms"), F.desc("post_id")]
-    of_author = Window.partitionBy("tags", "person_id").orderBy(*newest)
-    of_set = Window.partitionBy("tags").orderBy(*newest)
-    listed = (
-        posts.withColumn("_rn", F.row_number().over(of_author)).filter(F.col("_rn") <= k)
-        .withColumn("_rn", F.row_number().over(of_set)).filter(F.col("_rn") <= 2 * k)
-        .groupBy("tags")
-        .agg(F.collect_list(F.struct("created_ms", "post_id", F.col("person_id").alias("author"))).alias("listed"))
-    )
-    interests = posts.select("person_id", F.explode("tags").alias("tag")).distinct()
-    set_tags = listed.select("tags", F.explode("tags").alias("tag"))
-    shared = interests.join(set_tags, "tag").groupBy("person_id", "tags").agg(F.count(F.lit(1)).alias("shared"))
-    others = shared.join(listed, "tags").withColumn(
-        "listed", F.filter("listed", lambda p: p["author"] != F.col("person_id"))
-    ).filter(F.size("listed") > 0).withColumn("_newest", F.array_max("listed"))
-    best_sets = Window.partitionBy("person_id").orderBy(F.desc("shared"), F.desc("_newest"))
+    masks = stage(posts.groupBy("person_id").agg(F.bit_or(mask).alias("mask")), "person_masks")
+    ways = [_by_rare_tags(posts, masks, rest, mask, k, newest)]
+    if hot:
+        ways.append(_by_heavy_tags(posts.withColumn("mask", mask), masks, len(hot), k, newest))
+    found = ways[0] if len(ways) == 1 else ways[0].unionByName(ways[1])
     best = Window.partitionBy("person_id").orderBy(F.desc("shared"), *newest)
     return (
-        others.withColumn("_rn", F.row_number().over(best_sets))
-        .filter(F.col("_rn") <= k)
-        .select("person_id", "shared", F.inline("listed"))
+        found.groupBy("person_id", "post_id", "created_ms").agg(F.max("shared").alias("shared"))
         .withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)
         .select("person_id", "rank", "post_id", "shared")
     )
+
+
+def _by_rare_tags(posts: DataFrame, masks: DataFrame, rest: Column, mask: Column, k: int, newest: list[Column]) -> DataFrame:
+    """(person_id, post_id, created_ms, shared): the best posts of others that share a tag which is not heavy."""
+    authored = posts.withColumnRenamed("person_id", "author")
+    listed = _best_of(authored, "tags", k, *newest).groupBy("tags").agg(
+        F.collect_list(F.struct("created_ms", "post_id", "author")).alias("listed"))
+    interests = posts.select("person_id", F.explode(rest).alias("tag")).distinct().join(masks, "person_id")
+    sets = listed.select("tags", F.explode(rest).alias("tag"))
+    shared = interests.join(sets, "tag").groupBy("person_id", "tags").agg(F.count(F.lit(1)).alias("n"), F.first("mask").alias("mask"))
+    counted = shared.withColumn("shared", F.col("n") + F.bit_count(F.col("mask").bitwiseAND(mask)))
+    others = counted.join(listed, "tags").withColumn(
+        "listed", F.filter("listed", lambda p: p["author"] != F.col("person_id"))
+    ).filter(F.size("listed") > 0).withColumn("_newest", F.array_max("listed"))
+    best_sets = Window.partitionBy("person_id").orderBy(F.desc("shared"), F.desc("_newest"))
+    return (
+        others.withColumn("_rn", F.row_number().over(best_sets)).filter(F.col("_rn") <= k)
+        .select("person_id", "shared", F.inline("listed")).select("person_id", "post_id", "created_ms", "shared")
+    )
+
+
+def _by_heavy_tags(posts: DataFrame, masks: DataFrame, n: int, k: int, newest: list[Column]) -> DataFrame:
+    """(person_id, post_id, created_ms, shared): the best posts of others by the heavy tags in common alone."""
+    authored = posts.filter("mask > 0").select("mask", F.col("person_id").alias("author"), "post_id", "created_ms").distinct()
+    of_mask = _best_of(authored, "mask", k, *newest)
+    within = of_mask.select(_submasks("mask", n).alias("part"), "author", "post_id", "created_ms").distinct()
+    of_part = _best_of(within, "part", k, *newest)
+    asked = masks.select("mask").filter("mask > 0").distinct().select("mask", _submasks("mask", n).alias("part"))
+    met = asked.join(of_part, "part").groupBy("mask", "author", "post_id", "created_ms").agg(
+        F.max(F.bit_count("part")).cast("bigint").alias("shared"))
+    for_mask = stage(_best_of(met, "mask", k, F.desc("shared"), *newest), "heavy_best")
+    # at most 2k rows for each of 2 ** n masks
+    return masks.join(F.broadcast(for_mask), "mask").filter(F.col("author") != F.col("person_id")).select(
+        "person_id", "post_id", "created_ms", "shared")

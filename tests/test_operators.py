@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -421,3 +422,25 @@ def test_edges_without_vertices_or_ids(spark):
     vertices = spark.createDataFrame([("1", 3, "a"), ("1", 6, "b"), ("1", None, "c"), (None, 1, "d"), ("1", 5, "e")], "id string, created_ms long, post_key string")
     assert sorted(map(tuple, graph.posted_vertices(edges, vertices).collect())) == [("p", "a", "TWEETED"), ("p", "e", "TWEETED")]
     assert graph.posted_vertices(edges.limit(0), vertices).count() == graph.posted_vertices(edges, vertices.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("heavy", [0, 3, 10])
+def test_recommendation_with_a_tag_in_every_post(spark, heavy):
+    """One tag is in every post, few posts share another one, and times tie."""
+    rng = random.Random(heavy)
+    rows = []
+    for i in range(400):
+        tags = ["all"] + [f"h{j}" for j in range(4) if rng.random() < 0.4] + [f"r{rng.randrange(90)}" for _ in range(rng.randrange(3))]
+        rows.append((f"p{rng.randrange(25) if i % 3 else 0}", i, rng.randrange(60), tags))
+    wanted = {}
+    of = {}
+    for person, _, _, tags in rows:
+        of.setdefault(person, set()).update(tags)
+    for person, own in of.items():
+        ranked = sorted(((-len(own & set(t)), -ms, -i) for author, i, ms, t in rows if author != person))
+        wanted[person] = [(-i, -n) for n, _, i in ranked[:5]]
+    table = spark.createDataFrame(rows, "person_id string, post_id long, created_ms long, tags array<string>")
+    got = {}
+    for r in graph.recommend(table, heavy=heavy).orderBy("person_id", "rank").collect():
+        got.setdefault(r.person_id, []).append((r.post_id, r.shared))
+    assert got == wanted
