@@ -12,7 +12,7 @@ MIN_SITES = 10
 MIN_LINE_WORDS = 2
 SKETCH_BITS = 10
 MARGIN = 4 * 1.04 / 2 ** (SKETCH_BITS / 2)  # four standard errors of a sketch
-COPY_SHARE = 0.5
+COPY_SHARE = 0.5  # of a text's words in widespread lines, above which it may be a copy
 
 
 def _trimmed(line: Column) -> Column:
@@ -26,48 +26,62 @@ def text_digest(text: Column) -> list[Column]:
 
 
 def line_marks(docs: DataFrame, text: str = "text", site: str = "source") -> DataFrame:
-    """For each document its text's digest, its site and, for each line, a hash and its number of words."""
+    """For each document its text's digest, its site, its words and, for each line, a hash and its number of words."""
     lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
-    marks = F.transform(lines, lambda x: F.struct(F.xxhash64(_trimmed(x)).alias("h"), F.size(words(x)).alias("w")))
+    hashed = lambda x: F.conv(F.left(F.md5(_trimmed(x)), F.lit(15)), 16, 10).cast("long")
+    marks = F.transform(lines, lambda x: F.struct(hashed(x).alias("h"), F.size(words(x)).alias("w")))
     place = F.when(F.col(site).isNull(), "n").otherwise(F.concat(F.lit("s"), F.col(site)))
-    return docs.select(*text_digest(F.col(text)), place.alias("site"), marks.alias("lines"))
+    marked = docs.select(*text_digest(F.col(text)), place.alias("site"), marks.alias("lines"))
+    return marked.withColumn("words", F.aggregate("lines", F.lit(0).cast("long"), lambda a, x: a + x["w"]))
 
 
-def spread_lines(marks: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_LINE_WORDS) -> DataFrame:
-    """Hashes of the lines that stand on ``min_sites`` distinct sites or more, exactly.
+def _on_many(rows: DataFrame, least: int, name: str) -> DataFrame:
+    """The lines (``h``) of rows (h, who) that ``least`` distinct ones or more have, exactly.
 
-    A line on fewer rows than that cannot; the others get a HyperLogLog sketch of their sites, merged from partial
-    sketches. Where the estimate lies within four standard errors of the threshold the sites are counted exactly.
+    A line on fewer rows than that cannot; the others get a HyperLogLog sketch, merged from partial sketches. Where the
+    estimate lies within four standard errors of the threshold they are counted exactly.
     """
-    each = marks.select("site", F.explode("lines").alias("line")).filter(F.col("line.w") >= min_words).select(F.col("line.h").alias("h"), "site")
-    often = each.groupBy("h").count().filter(F.col("count") >= min_sites).select("h")
-    candidates = stage(each.join(often, "h", "left_semi"), "line_sites")
     sketched = stage(
-        candidates.groupBy("h").agg(F.hll_sketch_agg("site", SKETCH_BITS).alias("sites"))
-        .select("h", F.hll_sketch_estimate("sites").alias("n_sites")), "line_spread")
-    sure = sketched.filter(F.col("n_sites") >= min_sites * (1 + MARGIN)).select("h")
-    near = sketched.filter((F.col("n_sites") < min_sites * (1 + MARGIN)) & (F.col("n_sites") >= min_sites * (1 - MARGIN)))
-    counted = (
-        candidates.join(near, "h", "left_semi").groupBy("h").agg(F.count_distinct("site").alias("n_sites"))
-        .filter(F.col("n_sites") >= min_sites).select("h"))
+        rows.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.hll_sketch_agg("who", SKETCH_BITS).alias("all"))
+        .filter(F.col("n") >= least).select("h", F.hll_sketch_estimate("all").alias("n_who")), name)
+    sure = sketched.filter(F.col("n_who") >= least * (1 + MARGIN)).select("h")
+    near = sketched.filter((F.col("n_who") < least * (1 + MARGIN)) & (F.col("n_who") >= least * (1 - MARGIN)))
+    counted = rows.join(near, "h", "left_semi").groupBy("h").agg(F.count_distinct("who").alias("n_who")).filter(
+        F.col("n_who") >= least).select("h")
     return sure.unionByName(counted)
 
 
-def removals(marks: DataFrame, spread: DataFrame, copy_share: float = COPY_SHARE) -> DataFrame:
-    """For each text with boilerplate, the places (from 0) of the lines to remove.
+def spread_lines(marks: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_LINE_WORDS,
+                 copy_share: float = COPY_SHARE) -> DataFrame:
+    """Hashes of the lines that stand on ``min_sites`` distinct sites or more, a group of copies counting as one site.
 
-    A text of which more than ``copy_share`` of the words stand in spread lines is a copy of other documents rather than
-    a page with boilerplate. It keeps its lines, for near-duplicate removal to decide on.
+    Lines on so many sites are widespread. A text with more than ``copy_share`` of its words in such lines is either a short
+    page full of boilerplate or one of many copies of a document. What is widespread among the other texts alone is
+    boilerplate, wherever it stands. For the rest, copies are known by the smallest hash among their remaining widespread
+    lines, which near copies mostly share, and all texts with one such hash count once.
     """
+    each = marks.select("_t1", "_t2", "site", F.explode("lines").alias("line")).filter(F.col("line.w") >= min_words).select(
+        "_t1", "_t2", F.col("site").alias("who"), F.col("line.h").alias("h"), F.col("line.w").alias("w"))
+    often = each.groupBy("h").count().filter(F.col("count") >= min_sites).select("h")
+    met = stage(each.join(often, "h", "left_semi"), "line_sites")
+    held = stage(met.join(_on_many(met.select("h", "who"), min_sites, "line_spread"), "h", "left_semi"), "widespread")
+    shares = held.groupBy("_t1", "_t2").agg(F.sum("w").alias("met")).join(
+        marks.groupBy("_t1", "_t2").agg(F.sum("words").alias("words")), ["_t1", "_t2"])
+    copies = shares.filter(F.col("met") > copy_share * F.col("words")).select("_t1", "_t2", F.lit(True).alias("copied"))
+    flagged = stage(held.join(copies, ["_t1", "_t2"], "left"), "copied_lines")
+    others = flagged.filter(F.col("copied").isNull()).select("h", "who")
+    sure = stage(_on_many(others, min_sites, "plain_spread"), "boilerplate")
+    left = flagged.filter("copied").join(sure, "h", "left_anti")
+    names = left.groupBy("_t1", "_t2").agg(F.concat(F.lit("c"), F.min("h").cast("string")).alias("who"))
+    counted = left.select("_t1", "_t2", "h").join(names, ["_t1", "_t2"]).select("h", "who").unionByName(others.join(sure, "h", "left_anti"))
+    return sure.unionByName(_on_many(counted, min_sites, "copy_spread"))
+
+
+def removals(marks: DataFrame, spread: DataFrame) -> DataFrame:
+    """For each text with boilerplate, the places (from 0) of the lines to remove."""
     texts = marks.groupBy("_t1", "_t2").agg(F.first("lines").alias("lines"))
-    lined = texts.select("_t1", "_t2", F.aggregate("lines", F.lit(0).cast("long"), lambda a, x: a + x["w"]).alias("words"),
-                         F.posexplode("lines").alias("place", "line"))
-    met = lined.join(spread.withColumnRenamed("h", "_h"), F.col("line.h") == F.col("_h"), "left_semi")
-    return (
-        met.groupBy("_t1", "_t2", "words").agg(F.sum("line.w").alias("met"), F.sort_array(F.collect_list("place")).alias("gone"))
-        .filter(F.col("met") <= copy_share * F.col("words"))
-        .select("_t1", "_t2", "gone")
-    )
+    lined = texts.select("_t1", "_t2", F.posexplode("lines").alias("place", "line")).select("_t1", "_t2", "place", F.col("line.h").alias("h"))
+    return lined.join(spread, "h", "left_semi").groupBy("_t1", "_t2").agg(F.sort_array(F.collect_list("place")).alias("gone"))
 
 
 def remove_spread_lines(docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES,
@@ -75,23 +89,25 @@ def remove_spread_lines(docs: DataFrame, text: str = "text", site: str = "source
     """The documents without their cross-site boilerplate, with ``n_lines`` and ``n_removed``.
 
     Lines are the parts between newlines and equal if they agree without the white space around them; shorter than
-    ``min_words`` words they are never removed. All other columns pass through; columns called ``n_lines`` or
-    ``n_removed`` are replaced.
+    ``min_words`` words they are never removed. Copies of a document, exact or nearly, count as one site, so what only they
+    share stays, for near-duplicate removal to decide on. All other columns pass through, whatever they are called; columns
+    called ``n_lines`` or ``n_removed`` are replaced.
 
     Null text stays null, with no lines; an empty text has one empty line. A null site is a site of its own. Equal
     texts, repeated rows among them, are treated alike. No rows give no rows.
     """
-    keep = [c for c in docs.columns if c.lower() not in {"n_lines", "n_removed", "_t1", "_t2"}]
+    keep = [c for c in docs.columns if c.lower() not in {"n_lines", "n_removed"}]
     marks = stage(line_marks(docs, text, site), "line_marks")
     gone = removals(marks, stage(spread_lines(marks, min_sites, min_words), "spread_lines"))
-    lines = F.split(F.col(text), "\n")
-    every = F.sequence(F.lit(0), F.size("_lines") - 1)
-    left = F.transform(F.array_except(every, F.col("gone")), lambda i: F.get("_lines", i))
-    joined = docs.select(*keep, *text_digest(F.col(text))).join(gone, ["_t1", "_t2"], "left")
-    cleaned = joined.withColumn("_lines", F.when(F.col("gone").isNotNull(), lines))
+    whole = docs.select(F.struct(*keep).alias("row"), F.col(text).alias("text"), *text_digest(F.col(text)))
+    joined = whole.join(gone, ["_t1", "_t2"], "left")
+    lines = F.split(F.col("text"), "\n")
+    every = F.sequence(F.lit(0), F.size("lines") - 1)
+    left = F.transform(F.array_except(every, F.col("gone")), lambda i: F.get("lines", i))
+    cleaned = joined.withColumn("lines", F.when(F.col("gone").isNotNull(), lines))
     return cleaned.select(
-        *[F.when(F.col("gone").isNotNull(), F.array_join(left, "\n")).otherwise(F.col(text)).alias(c) if c == text else F.col(c)
-          for c in keep],
-        F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        *[F.when(F.col("gone").isNotNull(), F.array_join(left, "\n")).otherwise(F.col("text")).alias(c) if c == text else
+          F.col("row")[c].alias(c) for c in keep],
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
     )

@@ -90,19 +90,31 @@ WITH docs AS (
     SELECT r, site, line, place, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS cut,
         len(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS w
     FROM lined
-), spread AS (
+), wide AS (
     SELECT cut FROM counted WHERE w >= {lines.MIN_LINE_WORDS} GROUP BY cut HAVING count(DISTINCT site) >= {lines.MIN_SITES}
+), held AS MATERIALIZED (
+    SELECT r, site, cut, w, ('0x' || md5(cut)[1:15])::BIGINT AS h FROM counted WHERE cut IN (SELECT cut FROM wide)
+), copies AS (
+    SELECT r FROM (SELECT r, sum(w) AS words FROM counted GROUP BY r) JOIN (SELECT r, sum(w) AS met FROM held GROUP BY r) USING (r)
+    WHERE met > {lines.COPY_SHARE} * words
+), sure AS (
+    SELECT cut FROM held WHERE r NOT IN (SELECT r FROM copies) GROUP BY cut HAVING count(DISTINCT site) >= {lines.MIN_SITES}
+), unsure AS (
+    SELECT * FROM held WHERE cut NOT IN (SELECT cut FROM sure)
+), named AS (
+    SELECT r, 'c' || min(h) AS who FROM unsure WHERE r IN (SELECT r FROM copies) GROUP BY r
+), spread AS (
+    SELECT cut FROM sure UNION ALL
+    SELECT cut FROM unsure LEFT JOIN named USING (r) GROUP BY cut HAVING count(DISTINCT coalesce(who, site)) >= {lines.MIN_SITES}
 ), marked AS (
     SELECT c.*, s.cut IS NOT NULL AS met FROM counted c LEFT JOIN spread s ON s.cut = c.cut
 ), cleaned AS (
     SELECT r, count(*) AS n_lines, count(*) FILTER (met) AS n_met,
-        sum(w) FILTER (met) > {lines.COPY_SHARE} * sum(w) AS is_copy,
         string_agg(line, chr(10) ORDER BY place) FILTER (NOT met) AS rest
     FROM marked GROUP BY r
 )
-SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE n_lines END::BIGINT AS n_lines,
-    CASE WHEN n_met = 0 OR is_copy THEN 0 ELSE n_met END::BIGINT AS n_removed,
-    CASE WHEN n_met = 0 OR is_copy THEN text ELSE coalesce(rest, '') END AS text
+SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE n_lines END::BIGINT AS n_lines, n_met::BIGINT AS n_removed,
+    CASE WHEN n_met = 0 THEN text ELSE coalesce(rest, '') END AS text
 FROM docs JOIN cleaned USING (r)
 """
 

@@ -229,11 +229,18 @@ def test_spread_lines_go_and_copies_stay(spark, odd, empty):
     rows = [(300 + i, f"{body[i]}\n  Click here now \nmore {body[i]}", "en", f"site{i % 12}") for i in range(14)]
     rows += [(50 + i, "copied line one\ncopied line two", "en", f"site{i}") for i in range(12)]
     rows += [(80, "Click here now\nrare words", "en", "site1"), (81, f"rare line\n{body[3]}", "en", "site2")]
+    near = [" ".join(f"n{k}w{j}" for j in range(9)) for k in range(8)]  # near copies: each with another line changed
+    rows += [(100 + i, "\n".join([*near[:i % 8], near[i % 8] + f" edit{i}", *near[i % 8 + 1:], "Click here now"]), "en", f"site{i}") for i in range(40)]
     docs = documents(spark, rows).unionByName(odd)
     got = {r.doc_id: r for r in lines.remove_spread_lines(docs).collect()}
     assert all(got[300 + i].text == f"{body[i]}\nmore {body[i]}" and got[300 + i].n_removed == 1 for i in range(14))
     assert all(got[50 + i].n_removed == 0 for i in range(12))
-    assert got[80].n_removed == 0 and got[81].n_removed == 0
+    assert got[80].text == "rare words" and got[80].n_removed == 1 and got[81].n_removed == 0
+    assert all(got[100 + i].n_removed == 1 and near[(i + 1) % 8] in got[100 + i].text and f"edit{i}" in got[100 + i].text for i in range(40))
+    clashing = docs.select("doc_id", "text", "source", F.lit(1).alias("gone"), F.lit(2).alias("h"), F.lit(3).alias("row"), F.lit(4).alias("_t1"))
+    odd_names = lines.remove_spread_lines(clashing)
+    assert odd_names.columns == [*clashing.columns, "n_lines", "n_removed"]
+    assert odd_names.filter("doc_id = 80").first()[:7] == (80, "rare words", "site1", 1, 2, 3, 4)
     assert got[4].text is None and got[4].n_lines == 0 and got[5].text == ""
     assert lines.remove_spread_lines(docs).count() == docs.count() and lines.remove_spread_lines(empty).count() == 0
 
