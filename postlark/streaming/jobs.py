@@ -213,10 +213,10 @@ def start_rejects(
     )
 
 
-def print_texts(messages: DataFrame, interval: str = PROBE_INTERVAL) -> StreamingQuery:
-    """Show the first texts of every batch."""
+def print_texts(messages: DataFrame, interval: str = PROBE_INTERVAL, sink: str = "console", name: str = "texts") -> StreamingQuery:
+    """Show the first texts of every batch; with the sink ``memory`` all of them are a table of that name."""
     texts = valid_posts(decode_messages(messages)).select("text")
-    return texts.writeStream.format("console").trigger(processingTime=interval).start()
+    return texts.writeStream.format(sink).queryName(name).trigger(processingTime=interval).start()
 
 
 def run_to_files(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:

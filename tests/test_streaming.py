@@ -188,6 +188,19 @@ def test_a_batch_that_dies_between_its_writes_is_made_whole(spark, arriving, inb
     assert stores.read(spark, root, "posts").count() == len(stored_ids(spark, root))
 
 
+def test_jobs_that_run_every_interval(spark, arriving, inbox, model):
+    read = lambda: messages.read_message_files(spark, inbox, maxFilesPerTrigger="1")
+    shown = streams.print_texts(read(), "1 second", "memory", "shown")
+    root = scratch_path(spark, "store")
+    storing = streams.start_store(read(), model, root, scratch_path(spark, "ck"), interval="1 second")
+    for query in (shown, storing):
+        query.processAllAvailable()
+        query.stop()
+    assert sorted(r.text for r in spark.table("shown").collect()) == sorted(r.text for r in union(arriving).collect())
+    wanted = dedup.first_arrivals(streams.accepted(streams.score(union(arriving), model)))
+    assert stored_ids(spark, root) == sorted(r.id for r in wanted.collect())
+
+
 def test_bot_check_job(spark):
     history = spark.createDataFrame(
         [(u, f"2024-01-01 00:{m:02d}:00", u * 100 + m) for u in range(3) for m in range(0, 30, 10)],
