@@ -12,8 +12,8 @@ from postlark.session import scratch_path
 from postlark.sources import corpus, messages, search, sites, stores
 from test_operators import START, post, posts
 
-LINES = """Ann Example|#|1001|#|Tue Jul 07 16:16:57 +0000 2015|#|| Some, Town ||#|We are hiring! Apply now|#|1
-Bob Example|#|1002|#|Tue Jul 07 16:16:58 +0000 2015|#||#|lovely weather today|#|0
+LINES = """Ann Example|#|1001|#|Wed Mar 13 09:41:05 +0000 2019|#|| Some, Town ||#|We are hiring! Apply now|#|1
+Bob Example|#|1002|#|Wed Mar 13 09:41:06 +0000 2019|#||#|lovely weather today|#|0
 broken row|#|1003
 """
 
@@ -22,13 +22,13 @@ def test_corpus_rows_and_rejects(spark, tmp_path):
     (tmp_path / "corpus.txt").write_text(LINES)
     good = corpus.read_corpus(spark, str(tmp_path)).orderBy("id").collect()
     assert [(r.id, r.location, r.label) for r in good] == [(1001, "| Some, Town |", 1.0), (1002, "", 0.0)]
-    assert good[0].created_at == datetime(2015, 7, 7, 16, 16, 57)
+    assert good[0].created_at == datetime(2019, 3, 13, 9, 41, 5)
     assert [r.value for r in corpus.read_corpus_rejects(spark, str(tmp_path)).collect()] == ["broken row|#|1003"]
 
 
 def test_corpus_appends_and_keeps_a_row_on_one_line(spark, tmp_path):
     rows = spark.createDataFrame(
-        [("A\nB", 1, "Tue Jul 07 16:16:57 +0000 2015", "x\ny", "one\ntwo\rthree"), (None, 2, None, None, "t")],
+        [("A\nB", 1, "Wed Mar 13 09:41:05 +0000 2019", "x\ny", "one\ntwo\rthree"), (None, 2, None, None, "t")],
         "username string, id bigint, created_at string, location string, text string",
     )
     path = str(tmp_path / "c")
@@ -60,13 +60,13 @@ def test_envelope_of_nothing_is_nothing(spark):
 
 
 def test_search_responses(spark, tmp_path):
-    status = {"created_at": "Tue Jul 07 16:16:57 +0000 2015", "id": 5, "text": "Hiring\nnow", "extra": 1,
+    status = {"created_at": "Wed Mar 13 09:41:05 +0000 2019", "id": 5, "text": "Hiring\nnow", "extra": 1,
               "user": {"name": "Ann", "location": "Town"}}
     lines = [json.dumps({"statuses": [status, {**status, "id": 6, "text": "nothing"}]}), json.dumps({"statuses": []})]
     (tmp_path / "r.json").write_text("\n".join(lines))
     found = search.found_posts(search.read_responses(spark, str(tmp_path)), "hiring")
     assert [tuple(r) for r in found.collect()] == [
-        ("Ann", 5, "Tue Jul 07 16:16:57 +0000 2015", "Town", "Hiring\nnow")
+        ("Ann", 5, "Wed Mar 13 09:41:05 +0000 2019", "Town", "Hiring\nnow")
     ]
     out = str(tmp_path / "corpus")
     jobs.collect(spark, str(tmp_path / "r.json"), "hiring", out)
@@ -98,7 +98,7 @@ def test_a_hundred_thousand_sites(spark):
 
 def test_training_job(spark, tmp_path):
     texts = [("we are hiring apply now", 1), ("lovely weather at work", 0)]
-    lines = [f"u|#|{i}|#|Tue Jul 07 16:16:57 +0000 2015|#||#|{texts[i % 2][0]}|#|{texts[i % 2][1]}" for i in range(60)]
+    lines = [f"u|#|{i}|#|Wed Mar 13 09:41:05 +0000 2019|#||#|{texts[i % 2][0]}|#|{texts[i % 2][1]}" for i in range(60)]
     (tmp_path / "corpus.txt").write_text("\n".join(lines) + "\n")
     model = str(tmp_path / "model")
     row = jobs.train(spark, str(tmp_path / "corpus.txt"), model).first()
