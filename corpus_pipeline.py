@@ -68,7 +68,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack_sequences),
 ]
 
-ORACLE_SQL = None  # tokenizing and hashing are beyond SQL; tests hold every stage against a plain version
+ORACLE_SQL = None  # tokenizing and hashing are beyond SQL; tests check what each operator does and what the whole keeps
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
