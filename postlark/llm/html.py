@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
 
@@ -48,66 +49,133 @@ TREE_DEPTH = 6
 
 
 HARD_HINT = re.compile(r"comment|repl(?:y|ies)|respond|related|recommend", re.I)
+CARDS_HINT = re.compile(r"related|recommend", re.I)
+# The ids that say a role within content, by the whole: the first always, the second unless a heading of that name follows. Any
+# other id there is an anchor that a heading's words gave.
+ROLE_ID = re.compile(r"comments?(?:[-_]?(?:area|list|section|form))?|respond|disqus_thread|side-?bar|navbar|breadcrumbs?|"
+                     r"(?:cookie|consent)[-_](?:banner|notice|bar)|newsletter[-_](?:form|signup|box)|share[-_](?:buttons|bar|links)|"
+                     r"(?:related|recommended)[-_](?:posts|articles|stories|content|links|reading|pages|news|products|topics)|(?:ad|advert|promo|banner)(?:[-_]\w+)?", re.I)
+PLAIN_ID = re.compile(r"newsletter|subscribe|footer|menu|nav|navigation|social|share|ads?|advert\w*|banner|promo|popup|modal|toc", re.I)
+NEXT_HEADING = re.compile(r"\s*<(h[1-6])\b[^>]*>([^<]{0,200})", re.I)
 PART_NAME = re.compile(r"(?:article|entry|post|story|page|section)[-_]+(?:header|main|title|body|text)", re.I)
-ASIDE, HARD, UNSEEN, VEILED = -1, -3, -2, -4
+ASIDE, HARD, UNSEEN, VEILED, CARDS, CARD = -1, -3, -2, -4, -5, -6
 
 
-def _place(tag: str, attributes: str, outer: int) -> int:
+def _slug(words: str) -> str:
+    return "-".join(re.findall(r"\w+", unescape(words).lower()))
+
+
+def _place(tag: str, attributes: str, outer: int, heading: str = "") -> int:
     """1 within content, ASIDE within an aside, HARD where an aside holds what looks like articles, else 0; what stands
     nearest decides. VEILED is an aside that is not shown, out of which only an article or main element leads. Such an element
-    is content whatever single words its classes hold, unless these name comments, related matter or advertising."""
-    hints = []
+    is content whatever single words its classes hold, unless these name comments, related matter or advertising.
+
+    Ids of headings, of sections that repeat the words of the ``heading`` that follows, and all within content are anchors
+    and say nothing, unless they are a role's name as a whole. Headings within content are asides only by a class that names
+    comments or related matter. CARDS is an aside of related matter; an article in it is a CARD, which is content on a page
+    that has no other.
+    """
+    classes, ids = [], []
     for m in ATTRIBUTE.finditer(attributes) if attributes else ():
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "style":
             if name == "hidden" or HIDDEN.search(value):
-                return HARD if outer == HARD else VEILED
+                return outer if outer in (HARD, CARDS) else VEILED
         else:
-            hints += [x for x in value.split() if not STATE.fullmatch(x)]
+            (ids if name == "id" else classes).extend(x for x in value.split() if not STATE.fullmatch(x))
     if outer == HARD:
         return HARD
+    sectional = tag == "section" or "section" in classes
+    anchors = [x for x in ids if tag in HEADINGS or sectional and "-" in heading and _slug(x.replace("_", "-")) == heading]
+    if outer in (1, CARD):
+        anchors += [x for x in ids if not PLAIN_ID.fullmatch(x) or x.lower() == heading]
+    roles = [x for x in ids if ROLE_ID.fullmatch(x) or x not in anchors]
+    hints = classes + roles
     named = [PART_NAME.sub("content", x) for x in hints]
     own = any(CONTENT_TOKEN.fullmatch(x) or CONTENT_NAME.fullmatch(x) for x in hints)
     aside = [x for x in named if ASIDE_HINT.search(x)] if tag not in ("html", "body") else []
+    if tag in HEADINGS and outer in (1, CARD):
+        aside = [x for x in aside if HARD_HINT.search(x)]
     if tag in ("aside", "nav", "footer") or any(map(HARD_HINT.search, aside)) and tag != "main":
-        return HARD
+        cards = tag not in ("aside", "nav", "footer", "article") and all(CARDS_HINT.search(x) for x in aside if HARD_HINT.search(x))
+        return CARDS if cards else HARD
+    if outer == CARDS:
+        return CARD if tag in CONTENT_TAGS else CARDS
     if tag in CONTENT_TAGS:
-        return ASIDE if tag == "article" and not own and any(map(SOLD.fullmatch, aside)) else 1
+        return ASIDE if tag == "article" and not own and any(map(SOLD.fullmatch, aside)) else CARD if outer == CARD else 1
     if tag in ASIDE_TAGS or aside and not own:
         return VEILED if outer == VEILED else ASIDE
     if tag == "header":
-        return outer if outer in (1, VEILED) else ASIDE
+        return outer if outer in (1, CARD, VEILED) else ASIDE
     if outer == 0 and any(map(CONTENT_HINT.search, named)) or outer == ASIDE and any(map(CONTENT_NAME.fullmatch, hints)):
         return 1
     return outer
 
 
-def _after_foreign(html: str, tag: str, at: int) -> int:
-    """Where the svg or math element that was opened before ``at`` ends; where its nesting is never closed, at its first
-    end tag, and without any at the page's end."""
-    depth, first = 1, len(html)
-    for m in FOREIGN[tag].finditer(html, at):
+def _foreign_ends(html: str, tag: str) -> tuple[dict[int, int], list[int]]:
+    """For each start tag of svg or math, by where it ends, where its element ends; and where all end tags end."""
+    ends, closers, opened = {}, [], []
+    for m in FOREIGN[tag].finditer(html):
         if m[1]:
-            depth -= 1
-            first = min(first, m.end())
-            if not depth:
-                return m.end()
+            closers.append(m.end())
+            if opened:
+                ends[opened.pop()] = m.end()
         elif not m[2].endswith("/"):
-            depth += 1
-    return first
+            opened.append(m.end())
+    return ends, closers
+
+
+class _Open:
+    """The open elements, each with its place, and how many there are of each tag."""
+
+    def __init__(self) -> None:
+        self.stack: list[list] = []  # tag, place, whether inline, elements of the same tag within that are not kept
+        self.counts: dict[str, int] = {}
+
+    def push(self, tag: str, place: int, inline: bool = False) -> None:
+        self.stack.append([tag, place, inline, 0])
+        self.counts[tag] = self.counts.get(tag, 0) + 1
+
+    def pop(self) -> str:
+        tag = self.stack.pop()[0]
+        self.counts[tag] -= 1
+        return tag
+
+    def close(self, tag: str) -> None:
+        if self.counts.get(tag):
+            while self.pop() != tag:
+                pass
+
+    def ends_by_itself(self, tag: str) -> None:
+        """Closes what ``tag`` ends: an open paragraph or an element of its own kind, with a hinted inline element in it."""
+        while self.stack:
+            top = self.stack[-1]
+            under = self.stack[-2] if top[2] and len(self.stack) > 1 else top
+            if under[2] or under[0] not in ("p", tag):
+                return
+            if under is not top:
+                self.pop()
+            self.pop()
+
+    @property
+    def place(self) -> int:
+        return self.stack[-1][1] if self.stack else 0
 
 
 def blocks(html: str) -> list[tuple[str, int, int, int, int, int]]:
     """The page's texts between block-level tags, in order: text, words, words in links, place, whether a heading, whether
-    a list item.
+    a list item. The time grows with the page's length, however deep it nests.
 
-    Never fails: an end tag without a start is passed over, what is not closed ends with the page, a tag that the page's
-    end cuts off is dropped.
+    An inline element never leaves its block: one whose class is a hint makes its block an aside only if nothing else stands
+    there, one that is hidden is left out. Never fails: an end tag without a start is passed over, what is not closed ends with
+    the page (svg and math at their first end tag, if any), a tag that the page's end cuts off is dropped.
     """
     out: list[tuple[str, int, int, int, int, int]] = []
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, int]] = []
+    places: set[int] = set()
+    foreign: dict[str, tuple[dict[int, int], list[int]]] = {}
+    opened = _Open()
     links = 0
 
     def flush() -> None:
@@ -116,17 +184,19 @@ def blocks(html: str) -> list[tuple[str, int, int, int, int, int]]:
             parts.clear()
             if text:
                 in_links = len(unescape(" ".join(linked)).split())
-                tags = [t for t, _ in stack]
-                out.append((text, len(text.split()), in_links, stack[-1][1] if stack else 0,
-                            int(any(t in HEADINGS for t in tags[-3:])), int("li" in tags)))
+                out.append((text, len(text.split()), in_links, max(places, default=opened.place),
+                            int(any(x[0] in HEADINGS for x in opened.stack[-3:])), int(opened.counts.get("li", 0) > 0)))
             linked.clear()
+        places.clear()
 
     at, size = 0, len(html)
     while at < size:
         m = TAG.search(html, at)
         end = m.start() if m else size
-        if end > at:
+        if end > at and not (opened.place == VEILED and opened.stack[-1][2]):
             parts.append(html[at:end])
+            if not html[at:end].isspace():
+                places.add(opened.place)
             if links:
                 linked.append(html[at:end])
         if not m:
@@ -139,43 +209,56 @@ def blocks(html: str) -> list[tuple[str, int, int, int, int, int]]:
         if not m[0].endswith(">"):
             break
         if not closing and tag in FOREIGN:
-            at = at if attributes.endswith("/") else _after_foreign(html, tag, at)
+            if not attributes.endswith("/"):
+                if tag not in foreign:
+                    foreign[tag] = _foreign_ends(html, tag)
+                ends, closers = foreign[tag]
+                later = bisect_right(closers, at)
+                at = ends.get(at) or (closers[later] if later < len(closers) else size)
             continue
         if not closing and tag in RAW:
-            ended = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
-            at = ended.end() if ended else size
+            ended = re.compile(rf"</{tag}\b", re.I).search(html, at)
+            at = (html.find(">", ended.end()) + 1 or size) if ended else size
             continue
         if tag in INLINE:
+            top = opened.stack[-1] if opened.stack else None
+            inside = top is not None and top[2] and top[0] == tag
             if tag == "br":
                 parts.append(" ")
             elif tag == "a":
                 links = 0 if closing else 1
-            elif not closing and tag not in VOID and attributes and _place(tag, attributes, 0) < 0:
-                flush()
-                stack.append((tag, ASIDE))
-            elif closing and stack and stack[-1][0] == tag:
-                flush()
-                stack.pop()
+            if tag in VOID:
+                continue
+            if closing and inside:
+                if top[3]:
+                    top[3] -= 1
+                else:
+                    opened.pop()
+            elif not closing and inside:
+                top[3] += 1
+            elif not closing and attributes and opened.place in (0, 1, CARD):
+                hint = _place(tag, attributes, opened.place)
+                if hint < 0 and tag != "a":
+                    opened.push(tag, hint, True)
             continue
         flush()
         links = 0
         if closing:
-            names = [t for t, _ in stack]
-            if tag in names:
-                del stack[len(names) - 1 - names[::-1].index(tag):]
+            opened.close(tag)
         elif tag not in VOID and not attributes.endswith("/"):
             if tag in ("p", "li", "td", "th", "tr", "dt", "dd", "option") or tag in HEADINGS:
-                while stack and (stack[-1][0] == "p" or stack[-1][0] == tag):  # these end by themselves
-                    stack.pop()
+                opened.ends_by_itself(tag)
             if tag == "body":
-                stack = [x for x in stack if x[0] != "head"]
-            outer = stack[-1][1] if stack else 0
+                opened.close("head")
             if tag in UNREAD:
-                stack.append((tag, UNSEEN))
+                opened.push(tag, UNSEEN)
             else:
-                stack.append((tag, outer if outer == UNSEEN else _place(tag, attributes, outer)))
+                following = NEXT_HEADING.match(html, at) if "id" in attributes else None
+                opened.push(tag, UNSEEN if opened.place == UNSEEN else _place(tag, attributes, opened.place, _slug(following[2]) if following else ""))
     flush()
-    return [(*b[:3], max(b[3], ASIDE), *b[4:]) for b in out if b[3] != UNSEEN]
+    lone = not any(b[3] == 1 for b in out)
+    seen = {0: 0, 1: 1, CARD: 1 if lone else ASIDE}
+    return [(*b[:3], seen.get(b[3], ASIDE), *b[4:]) for b in out if b[3] != UNSEEN]
 
 
 def described(page: list[tuple[str, int, int, int, int, int]]) -> list[list[float]]:

@@ -117,4 +117,26 @@ and the first sacks of the year went down the hill on Thursday behind the grey m
 the last Sunday of every month from ten until the wheel stops.</p></div></body>""",
      frozenset({"Flour again", "The stones were dressed in March and the first sacks of the year went down the hill on Thursday behind the grey "
                 "mare.", "Rye follows."})),
+    ("""<body><h1>The mill pond</h1><p>The pond was dug by hand in a single dry summer and has never failed since, not even in the year of the
+long drought.</p><p>It is deep.</p><p><a href="/ponds">All ponds</a> <a href="/mills">All mills</a></p><p>Printed in Lowtown</p></body>""",
+     frozenset({"The mill pond", "The pond was dug by hand in a single dry summer and has never failed since, not even in the year of the long "
+                "drought.", "It is deep."})),
+    ("""<body><p><a href="/">Home</a></p><p>Letters</p><p>We had the roof off in April and found a nest of owls under the ridge, so the work had to wait
+until they were fledged.</p><p>Nobody minded.</p><p>By the time the last of them had left in July the timber was dry, and the slates went back on in nine
+days without a drop of rain.</p><p>All is well.</p></body>""",
+     frozenset({"We had the roof off in April and found a nest of owls under the ridge, so the work had to wait until they were fledged.",
+                "Nobody minded.", "By the time the last of them had left in July the timber was dry, and the slates went back on in nine days "
+                "without a drop of rain.", "All is well."})),
+    ("""<body><div><a href="/1">North</a> <a href="/2">South</a></div><div>The bridge carries one cart at a time, and the keeper rings a bell when a second
+comes up the hill behind it.</div><div>He is never late.</div><div>In the evening he walks across with a lantern and counts the planks, as his father did and
+his father before him.</div><div>There are ninety.</div><div><a href="/3">Next bridge</a></div><div>Map</div></body>""",
+     frozenset({"The bridge carries one cart at a time, and the keeper rings a bell when a second comes up the hill behind it.", "He is never late.",
+                "In the evening he walks across with a lantern and counts the planks, as his father did and his father before him.",
+                "There are ninety."})),
+    ("""<article><p>The ferry is late.</p></article>""", frozenset({"The ferry is late."})),
+    ("""<body><main><p>Yes</p><p>It holds.</p></main></body>""", frozenset({"Yes", "It holds."})),
+    ("""<body><article><h1>No</h1></article></body>""", frozenset({"No"})),
+    ("""<body><main><ul><li><a href="/a">Oats</a></li><li><a href="/b">Rye</a></li></ul></main></body>""", frozenset({"Oats", "Rye"})),
+    ("""<body><p>Moved</p></body>""", frozenset()),
+    ("""<body><p>Welcome</p><p>Bienvenue</p><p>Please choose a language</p></body>""", frozenset()),
 )

@@ -317,6 +317,53 @@ def test_classes_of_blog_engines(spark):
     assert [x for x in aside if html.main_text(page.format(x.format(body)), tree) != ""] == []
 
 
+def test_anchors_headings_and_inline_hints_stay(spark):
+    tree = html.trained_tree(spark)
+    long = "The well was dug by hand in a single dry summer and has never failed since."
+    page = "<body><nav><a href=/>Home</a></nav>{}<footer>Foot</footer></body>"
+    cases = [(f"<{outer}><h1 class='header'>Wells</h1><{t} id='{i}'><h2>{h}</h2><p>{long}</p><p>It is deep.</p></{t}></{outer}>", f"Wells\n{h}\n{long}\nIt is deep.")
+             for outer in ("article", "main") for t in ("section", "div")
+             for i, h in (("related-work", "Related work"), ("login", "Login"), ("search-algorithms", "Search algorithms"), ("menu", "Menu"))]
+    cases += [
+        ("<article><p>The word <span class='notice'>beware</span> stood over the <b class='ad'>gate <b>of</b></b> iron.</p></article>",
+         "The word beware stood over the gate of iron."),
+        (f"<article><p>{long}</p><span class='ad'>Buy lamps <span>now</span> or never</span><p>It is <i hidden>not</i> deep.</p></article>", f"{long}\nIt is deep."),
+        (f"<div class='recommended-reading'><article><p>{long}</p></article></div>", long),
+        (f"<article><p>{long}</p></article><div class='related'><article><p>{long} Or so.</p></article></div>", long),
+        (f"<article><p>{long}</p><div id='comments'><h2>Comments</h2><p>{long}</p></div><div id='newsletter'><p>{long}</p></div></article>", long),
+        (f"<section id='search-algorithms'><h2>Search algorithms</h2><p>{long}</p><p>It is deep.</p></section>", f"Search algorithms\n{long}\nIt is deep."),
+    ]
+    assert [x for x, want in cases if html.main_text(page.format(x), tree) != want] == []
+
+
+def test_neighbours_decide_without_places(spark):
+    tree = html.trained_tree(spark)
+    used = set()
+
+    def walk(node):
+        if len(node) > 1:
+            used.add(html.FEATURES[node[0]])
+            walk(node[2])
+            walk(node[3])
+
+    walk(tree)
+    assert used & {"words_before", "links_before", "words_after", "links_after"}
+    long = "The well was dug by hand in a single dry summer and has never failed since, whatever the almanac said of it."
+    page = f"<body><p><a href=/>Home</a> <a href=/w>Wells</a></p><p>{long}</p><p>It is deep.</p><p>{long}</p><p>Nobody fell in.</p><p><a href=/n>Next</a></p></body>"
+    assert html.main_text(page, tree) == f"{long}\nIt is deep.\n{long}\nNobody fell in."
+
+
+def test_deep_and_broken_pages_take_linear_time():
+    import time
+
+    n = 200_000
+    for page in ("<div>x" * n, "<div>x" * n + "</p>" * n, "<div><head><body>x" * (n // 4), "<svg><svg></svg>x" * (n // 4), "<span class=ad>x" * n + "<p>y" * n,
+                 "<textarea>" + "</textarea" * n, "<li><p>x" * n, "<b><i>x</b>" * n):
+        start = time.monotonic()
+        html.blocks(page)
+        assert time.monotonic() - start < 20, page[:30]
+
+
 # -- packing ----------------------------------------------------------------------------------
 
 
