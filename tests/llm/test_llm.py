@@ -127,6 +127,83 @@ def test_notices_whole_split_and_wrapped(spark):
     assert {p: got[p] for p in want} == want
 
 
+GNU = ("{0} is free software{1} you can redistribute it and/or modify\nit under the terms of the GNU {2}General Public License as published by\n"
+       "the Free Software Foundation{3} either version {4} of the License, or\n(at your option) any later version.\n")
+BSD = ("Copyright (c) 2015, A. Writer\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the "
+       "following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice,\n   this list of conditions.\n"
+       "2. Redistributions in binary form must reproduce the above copyright\n   notice in the documentation.\n")
+THIRD = "Neither the name of the author nor the names of its contributors may be\n * used to endorse or promote products derived from this software.\n"
+FOURTH = "3. All advertising materials mentioning features or use of this software\n   must display the following acknowledgement.\n"
+
+
+def test_versions_and_clauses_tell_licences_apart(spark):
+    from collections import Counter
+
+    want = [
+        (BSD, "BSD-2-Clause"), (BSD + THIRD, "BSD-3-Clause"), (BSD + FOURTH + THIRD, "BSD-4-Clause"), ("BSD 2-Clause License\n\n" + BSD, "BSD-2-Clause"),
+        (GNU.format("This library", ";", "Lesser ", ";", "2.1"), "LGPL-2.1"), (GNU.format("This library", ":", "Lesser ", ",", "3"), "LGPL-3.0"),
+        (GNU.format("This library", ";", "Library ", ";", "2"), "LGPL-2.0"), (GNU.format("This program", ";", "", ";", "2"), "GPL-2.0"),
+        (GNU.format("This program", ":", "", ",", "3"), "GPL-3.0"), (GNU.format("This library", ";", "", ";", "2"), "GPL-2.0"),
+        (GNU.format("This program", ";", "", ";", "1"), "GPL-1.0"), (GNU.format("This program", ":", "Affero ", ",", "3"), "AGPL-3.0"),
+        ("Licensed under the GNU Lesser General Public License, version 2.1.", "LGPL-2.1"), ("Licensed under the GNU Lesser General Public License, version 9.", None),
+        ("Licensed under the GNU General Public License, version 4.", None), ("Licensed under the Apache License, Version 1.1.", "Apache-1.1"),
+        ("The Apache Software License, Version 1.1\n\n" + BSD, "Apache-1.1"), ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+        ("Licensed under the Apache License, Version 2.", "Apache-2.0"), ("Licensed under the Apache License, Version 3.0.", None),
+        ("GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007", "GPL-3.0"), ("GNU GENERAL PUBLIC LICENSE\n Version 1, February 1989", "GPL-1.0"),
+        ("GNU LESSER GENERAL PUBLIC LICENSE\n   Version 2.1, February 1999", "LGPL-2.1"), ("Released under the BSD 4-Clause License.", "BSD-4-Clause"),
+        ("Licensed under CC BY 4.0.", "CC-BY-4.0"), ("Licensed under CC BY 3.0.", "CC-BY-3.0"), ("Licensed under CC BY-NC-ND 4.0.", "CC-BY-NC-ND-4.0"),
+        ("Licensed under CC BY-SA 2.0.", None), ("Licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.", "CC-BY-SA-3.0"),
+        ("This work is licensed under the Creative Commons Attribution 4.0 International License.", "CC-BY-4.0"),
+        ("# SPDX-License-Identifier: MIT OR Apache-2.0", "MIT OR Apache-2.0"), ("/* SPDX-License-Identifier: (gpl-2.0-only or mit) */", "(GPL-2.0 OR MIT)"),
+        ("// SPDX-License-Identifier: GPL-2.0 WITH Classpath-exception-2.0", "GPL-2.0 WITH Classpath-exception-2.0"),
+        ("(SPDX-License-Identifier: MIT)", "MIT"), ("// SPDX-License-Identifier: (MIT)", "MIT"),
+    ]
+    rows = [(f"d{i}/{kind}", text, i) for i, (text, _) in enumerate(want) for kind in ("a.c", "LICENSE")]
+    got = {r.path: r.license for r in licenses.scan_files(spark.createDataFrame(rows, "path string, text string, file int")).collect()}
+    assert {(p, got[p]) for p, _, i in rows if got[p] != want[i][1]} == set()
+
+    notice = "# Licensed under the MIT License. See the LICENSE file for more"
+    copies = [("x/a.py", notice, 0)] * 50 + [(f"y{i}/a.py", notice, 0) for i in range(50)]
+    clash = "_own string, _path string, _above string, path string, text string, file int, directory int"
+    rows = spark.createDataFrame([("a", "b", "c", p, t, 1, 2) for p, t, _ in copies], clash)
+    scored = licenses.scan_files(rows)
+    assert scored.columns[:6] == ["_own", "_path", "_above", "path", "file", "directory"]
+    out = scored.collect()
+    assert len(out) == 100 and len({(r.license, r.score, r._own, r.file, r.directory) for r in out}) == 1
+    assert Counter(r.path for r in out)["x/a.py"] == 50
+
+
+def test_licence_scores_against_a_plain_cosine(spark):
+    import math
+    import re
+    from collections import Counter
+
+    texts = ["Released under the MIT License by its author", "Licensed under the Apache License version 2.0 or what you like", "MIT License", "No word of it",
+             "Licensed under the GNU General Public License version 2 and no later one", "a tale of permission", "Licensed under CC BY 4.0 at the mill"] * 2
+
+    def terms(text):
+        return Counter(re.findall(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", text.lower()))
+
+    vocabulary = {t for _, w in licenses.TEMPLATES for t in terms(w)}
+    held = Counter(t for x in texts for t in terms(x) if t in vocabulary)
+    weigh = lambda tf: {t: (1 + math.log(n)) * (math.log((1 + len(texts)) / (1 + held[t])) + 1) for t, n in tf.items()}
+    norm = lambda w: math.sqrt(sum(x * x for x in w.values()))
+
+    def best(text):
+        passage, found = weigh(terms(text)), []
+        for name, wording in licenses.TEMPLATES:
+            other = weigh(terms(wording))
+            shared = passage.keys() & other.keys()
+            if shared and (len(other) > 3 or len(shared) == len(other)):
+                found.append((sum(passage[t] * other[t] for t in shared) / norm(passage) / norm(other), name))
+        return max(found, default=(0, None))
+
+    files = spark.createDataFrame([(f"{i}/f.txt", t) for i, t in enumerate(texts)], "path string, text string")
+    for r in licenses.scan_files(files).collect():
+        score, name = best(texts[int(r.path.split("/")[0])])
+        assert (r.license, r.score) == ((name, pytest.approx(score, abs=1e-8)) if score >= licenses.THRESHOLD else (None, None))
+
+
 # -- fingerprints -----------------------------------------------------------------------------
 
 
