@@ -19,6 +19,8 @@ from postlark.session import scratch_path, stage
 
 BUNDLE_BYTES = 64_000_000
 FRAME_BYTES = 256_000
+READ_BYTES = 16_000_000  # of records to a task that reads them back
+SPAN_FRAMES = 16  # frames that one task reads in a row
 LEVEL = 3
 DATE = "2020-01-01T00:00:00Z"
 # Fixed values of the seekable format: a skippable frame that ends in a footer.
@@ -211,9 +213,12 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_records(index: DataFrame) -> DataFrame:
     """The records that the index rows name, each frame read once per run of rows in it; see RECORD for the columns.
 
-    Revisits have no payload of their own. Give some rows of an index to fetch single records.
+    Revisits have no payload of their own. Give some rows of an index to fetch single records. The index is small beside what
+    it names, so the tasks are counted by the bytes of the records and not by its own.
     """
-    spans = index.withColumn("_span", F.expr("frame div 16")).repartition("bundle", "_span")
+    named_bytes = index.agg(F.sum(F.col("record_bytes").cast("long"))).head()[0] or 0
+    tasks = max(1, -(-named_bytes // READ_BYTES))
+    spans = index.withColumn("_span", F.expr(f"frame div {SPAN_FRAMES}")).repartition(tasks, "bundle", "_span")
     ordered = spans.sortWithinPartitions("bundle", "frame", "record_start")
     return ordered.select("bundle", "frame", "record_start", "record_bytes").mapInArrow(_read, RECORD)
 
