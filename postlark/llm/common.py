@@ -22,6 +22,18 @@ def n_words(text: Column) -> Column:
     return F.size(words(text)).cast("long")
 
 
+def sheltered(columns: Sequence[str]) -> dict[str, str]:
+    """For each input column the name that it has inside an operator, whose own columns all begin with an underscore."""
+    names, used = {}, {c.lower() for c in columns}
+    for c in columns:
+        inner = c
+        while inner.startswith("_") or (inner != c and inner.lower() in used):
+            inner = f"given{inner}" if inner.startswith("_") else f"given_{inner}"
+        used.add(inner.lower())
+        names[c] = inner
+    return names
+
+
 def tie_breaker(df: DataFrame, columns: Sequence[str], seed: int) -> Column:
     """63 hashed bits of the row; rows that agree in all the columns may change places unseen."""
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *[F.col(c) for c in columns]), 1)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from postlark.llm.common import group_names, null_safe, running, slices_for, tie_breaker
+from postlark.llm.common import group_names, null_safe, running, sheltered, slices_for, tie_breaker
 from postlark.session import stage
 
 MOST_REPEATS = 3
@@ -110,14 +110,17 @@ def assign_positions(rows: DataFrame, sources: DataFrame, source: str = "source"
     integrated weights of the source are inverted to a time.
 
     A null source is a source of its own; rows of no size are taken where they stand; rows that are equal in the columns
-    ``ties`` (all, if not given) may change places. No rows give no rows. Equal runs give equal results.
+    ``ties`` (all, if not given) may change places. No rows give no rows. Equal runs give equal results. Columns called like
+    the results are replaced, any other names may be used.
     """
     own = ["source_size", "target", "schedule", "repeats", "positions"]
     keep = [c for c in rows.columns if c.lower() not in own]
-    keyed = rows.select(*keep, tie_breaker(rows, ties or keep, seed).alias("_key"))
+    names_in = sheltered(keep)
+    keyed = rows.select(*[F.col(c).alias(names_in[c]) for c in keep], tie_breaker(rows, ties or keep, seed).alias("_key"))
+    plans = sources.select(*null_safe([source]), F.col("target"), _integrated(F.col("schedule")).alias("_spans"))
+    source, size = names_in[source], names_in[size]
     laid = running(keyed, [source], "_key", size, slices_for(rows.count()))
     names = group_names([source])
-    plans = sources.select(*null_safe([source]), F.col("target"), _integrated(F.col("schedule")).alias("_spans"))
     middle = lambda e: e * F.col("_total") + F.col("_before") + F.col(size) / 2
     rounds = F.sequence(F.lit(0), F.lit(most - 1))
     taken = F.filter(rounds, lambda e: middle(e) < F.col("target"))
@@ -125,7 +128,7 @@ def assign_positions(rows: DataFrame, sources: DataFrame, source: str = "source"
         laid.select("*", *null_safe([source]))
         .join(plans, names)
         .withColumn("_taken", F.transform(taken, lambda e: _time_of(F.col("_spans"), middle(e) / F.col("target"))))
-        .select(*keep, F.col("_total").cast("long").alias("source_size"), "target",
+        .select(*[F.col(names_in[c]).alias(c) for c in keep], F.col("_total").cast("long").alias("source_size"), "target",
                 F.size("_taken").alias("repeats"), F.col("_taken").alias("positions"))
     )
 

@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlark.llm.common import tie_breaker
+from postlark.llm.common import sheltered, tie_breaker
 from postlark.session import stage
 
 SEQUENCE_TOKENS = 2048
@@ -224,15 +224,17 @@ def pack(pieces: DataFrame, most: int = SEQUENCE_TOKENS, open_bins: int = OPEN_B
     Pieces are dealt by hash into groups of some thousands, whose number grows with them, and each group is packed
     online in a seeded order. The shuffle moves the pieces' rows, so leave out their ids where they are not needed. Equal
     rows are placed apart. Equal runs over equal rows give equal results. Columns called ``sequence_id`` or ``offset``
-    are replaced. No rows give no rows.
+    are replaced, any other names may be used. No rows give no rows.
     """
     keep = [c for c in pieces.columns if c.lower() not in {"sequence_id", "offset"}]
+    inner = sheltered(keep)
     groups = max(1, -(-pieces.count() // PIECES_PER_GROUP))
-    keyed = pieces.select(*keep, tie_breaker(pieces, [c for c in keep if c != "ids"], 5).alias("_key")).withColumn(
+    keyed = pieces.select(*[F.col(c).alias(inner[c]) for c in keep], tie_breaker(pieces, [c for c in keep if c != "ids"], 5).alias("_key")).withColumn(
         "_group", F.pmod("_key", F.lit(groups)))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.select(*keep).schema)
+    schema = ", ".join(f"`{inner[f.name]}` {f.dataType.simpleString()}" for f in pieces.select(*keep).schema)
     order = ["_key", *[c for c in ("piece", "start") if c in keep]]
-    return keyed.groupBy("_group").applyInPandas(_packed(order, most, open_bins), f"{schema}, sequence_id bigint, offset bigint")
+    placed = keyed.groupBy("_group").applyInPandas(_packed(order, most, open_bins), f"{schema}, sequence_id bigint, offset bigint")
+    return placed.select(*[F.col(inner[c]).alias(c) for c in keep], "sequence_id", "offset")
 
 
 def packed_documents(docs: DataFrame, tokenizer: str, keys: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from postlark.llm.common import group_names, null_safe, running, slices_for, tie_breaker
+from postlark.llm.common import group_names, null_safe, running, sheltered, slices_for, tie_breaker
 from postlark.session import stage
 
 
@@ -20,20 +20,23 @@ def interleave(rows: DataFrame, shards: int, source: str = "source", seed: int =
 
     A null source is a source of its own. Rows that are equal in every column are interchangeable, each with a slot of
     its own. No rows give no rows; fewer rows than shards leave some shards empty. Columns that are called ``shard``
-    or ``slot`` are replaced. The columns must be of types that hash (no maps); give texts by their digests, since all
+    or ``slot`` are replaced, any other names may be used. The columns must be of types that hash (no maps); give texts by their digests, since all
     columns travel.
     """
     keep = [c for c in rows.columns if c.lower() not in {"shard", "slot"}]
-    staged = stage(rows.select(*keep, tie_breaker(rows, keep, seed).alias("_key"), F.lit(1).alias("_one")), "interleave")
+    names_in = sheltered(keep)
+    inner, source = list(names_in.values()), names_in.get(source, source)
+    given_back = [F.col(names_in[c]).alias(c) for c in keep]
+    staged = stage(rows.select(*[F.col(c).alias(names_in[c]) for c in keep], tie_breaker(rows, keep, seed).alias("_key"), F.lit(1).alias("_one")), "interleave")
     total = staged.count()
     if not total:
-        return staged.select(*keep, F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot")).limit(0)
+        return staged.select(*given_back, F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot")).limit(0)
     slices = slices_for(total)
     start = F.shiftrightunsigned(F.xxhash64(F.lit(seed + 1), F.col(source)), 11) / F.lit(float(2**53))
     ranked = stage(
         running(staged, [source], "_key", "_one", slices)
         .withColumn("_share", (F.col("_rank") - 1 + start) / F.col("_rows"))
-        .select(*keep, "_key", "_share", F.least(F.floor(F.col("_share") * slices), F.lit(slices - 1)).alias("_slice")),
+        .select(*inner, "_key", "_share", F.least(F.floor(F.col("_share") * slices), F.lit(slices - 1)).alias("_slice")),
         "shares",
     )
     ahead = ranked.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n")).select(
@@ -51,7 +54,7 @@ def interleave(rows: DataFrame, shards: int, source: str = "source", seed: int =
         .withColumn("_shard", F.expr(f"(_place * {shards}) div {total}"))
     )
     return cut.select(
-        *keep,
+        *given_back,
         F.col("_shard").cast("int").alias("shard"),
         (F.col("_place") - F.expr(f"(_shard * {total} + {shards - 1}) div {shards}")).cast("long").alias("slot"),
     )

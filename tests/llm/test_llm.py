@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from postlark.llm import (components, fingerprints, html, licenses, lines, minhash, mixing, packing, quality, queries, sharding,
+from postlark.llm import (common, components, fingerprints, html, licenses, lines, minhash, mixing, packing, quality, queries, sharding,
                           warc)
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, shard int, target string"
@@ -72,6 +72,25 @@ def test_sharding_of_odd_rows(odd, empty):
     assert sharding.interleave(empty, 4).count() == 0
 
 
+def test_shards_against_a_plain_ranking(spark):
+    rows = spark.createDataFrame([(i, None if i % 11 == 0 else "abc"[i % 3] if i % 5 else "hot", i, i) for i in range(600)],
+                                 "_key long, source string, _slice long, _one long")
+    keyed = rows.select("_key", "source", common.tie_breaker(rows, rows.columns, 11).alias("k"),
+                        (F.shiftrightunsigned(F.xxhash64(F.lit(12), "source"), 11) / F.lit(float(2**53))).alias("start")).collect()
+    groups = {}
+    for r in sorted(keyed, key=lambda r: r.k):
+        groups.setdefault(r.source, []).append(r)
+    line = sorted(((at + r.start) / len(g), r.source is None, r.source or "", r.k, r["_key"]) for g in groups.values() for at, r in enumerate(g))
+    want, filled = {}, [0] * 7
+    for place, x in enumerate(line):
+        shard = place * 7 // len(line)
+        want[x[-1]] = (shard, filled[shard])
+        filled[shard] += 1
+    got = sharding.interleave(rows, 7)
+    assert got.columns == ["_key", "source", "_slice", "_one", "shard", "slot"]
+    assert {r["_key"]: (r.shard, r.slot) for r in got.collect()} == want
+
+
 # -- licences ---------------------------------------------------------------------------------
 
 
@@ -454,6 +473,31 @@ def test_best_fit_fills_bins_without_gaps(lengths, open_bins):
     assert all(v <= 20 for v in filled.values()) and (not lengths or sorted(filled) == list(range(len(filled))))
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 64), max_size=200), st.integers(1, 9))
+def test_best_fit_takes_the_tightest_bin_and_closes_the_fullest(lengths, open_bins):
+    free = []  # of the open bins
+    for n, (_, offset) in zip(lengths, packing.best_fit(lengths, 64, open_bins), strict=True):
+        fitting = sorted(x for x in free if x >= n)
+        if fitting:
+            assert 64 - offset == fitting[0]
+            free.remove(fitting[0])
+        else:
+            assert offset == 0
+            if len(free) >= open_bins and n < 64:
+                free.remove(min(free))
+        if 64 - offset > n:
+            free.append(64 - offset - n)
+        assert len(free) <= open_bins
+
+
+def test_internal_names_may_be_the_inputs(spark):
+    pieces = spark.createDataFrame([(1, 2, 3, 5), (2, 2, 3, 6)], "_key long, _group long, given_key long, length long")
+    got = packing.pack(pieces)
+    assert got.columns == ["_key", "_group", "given_key", "length", "sequence_id", "offset"]
+    assert sorted((r["_key"], r.offset + r.length <= 2048) for r in got.collect()) == [(1, True), (2, True)]
+
+
 def test_packed_ids_are_the_tokenizers(spark, odd, empty):
     from tokenizers import Tokenizer
 
@@ -512,6 +556,33 @@ def test_targets_and_taken_words(spark, odd, empty):
     assert sorted((r.doc_id, r.repeats, r.positions) for r in got) == sorted((r.doc_id, r.repeats, r.positions) for r in again)
 
 
+def test_positions_against_plain_integration(spark):
+    rows = spark.createDataFrame([("ab"[i % 3 == 0] if i % 7 else None, i % 13, i, i) for i in range(200)], "source string, size long, _rows long, _total long")
+    plan = mixing.curriculum_plan(rows)
+    plans = {r.source: r for r in plan.collect()}
+    keyed = rows.select("*", common.tie_breaker(rows, rows.columns, 23).alias("k")).collect()
+    got = {r["_rows"]: r for r in mixing.assign_positions(rows, plan).collect()}
+    assert got.keys() == set(range(200)) and set(next(iter(got.values())).asDict()) >= {"_rows", "_total"}
+
+    def demand(spans, t):
+        """The part of the whole weight that lies before t."""
+        def area(s, to):
+            to = min(max(to, s.t0), s.t1)
+            w = s.w0 + (s.w1 - s.w0) * (to - s.t0) / (s.t1 - s.t0)
+            return (s.w0 + w) / 2 * (to - s.t0)
+        return sum(area(s, t) for s in spans) / sum(area(s, s.t1) for s in spans)
+
+    for source, plan_row in plans.items():
+        own = sorted((r for r in keyed if r.source == source), key=lambda r: r.k)
+        total, before = sum(r["size"] for r in own), 0
+        for r in own:
+            middles = [m for m in (e * total + before + r["size"] / 2 for e in range(3)) if m < plan_row.target]
+            out = got[r["_rows"]]
+            assert (out.source_size, out.target, out.repeats) == (total, plan_row.target, len(middles))
+            assert [demand(plan_row.schedule, t) for t in out.positions] == [pytest.approx(m / plan_row.target, abs=1e-9) for m in middles]
+            before += r["size"]
+
+
 def test_mixing_odd_rows(odd, empty):
     sized = odd.withColumn("size", F.size(F.split(F.coalesce("text", F.lit("")), " ")).cast("long"))
     got = mixing.assign_positions(sized, mixing.curriculum_plan(sized))
