@@ -58,12 +58,25 @@ def persons(rows: DataFrame) -> DataFrame:
 
 
 def posts(rows: DataFrame) -> DataFrame:
-    """(post_key, and the nine properties), distinct on all of them."""
-    distinct = rows.select(
-        F.col("tweet_id").alias("id"), *[F.col(p) for p in POST_PROPERTIES if p != "id"]
-    ).distinct()
+    """(post_key, and the nine properties), one for each key. Properties that are not asked for are not shuffled."""
+    return _post_properties(rows).dropDuplicates(["post_key"])
+
+
+def whole_posts(rows: DataFrame) -> DataFrame:
+    """``posts`` for those who want all properties, from rows that are written: keys are counted first, and only vertices
+    that stand there more than once are shuffled with their texts."""
+    every = _post_properties(rows)
+    many = stage(every.groupBy("post_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("post_key"), "repeated_posts")
+    if many.isEmpty():
+        return every
+    repeated = every.join(many, "post_key", "left_semi").dropDuplicates(["post_key"])
+    return every.join(many, "post_key", "left_anti").unionByName(repeated)
+
+
+def _post_properties(rows: DataFrame) -> DataFrame:
+    properties = rows.select(F.col("tweet_id").alias("id"), *[F.col(p) for p in POST_PROPERTIES if p != "id"])
     listed = F.array_join("tags", ",")
-    return distinct.withColumn(
+    return properties.withColumn(
         "post_key",
         vertex_key(*[listed if p == "tags" else F.col(p) for p in POST_PROPERTIES]),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -382,7 +383,8 @@ def retention(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _graph_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return graph.graph_rows(to_documents(dedup.first_arrivals(posts(spark, folder)), SURROGATE_SITES))
+    first = dedup.first_derived(partial(posts, spark, folder))
+    return graph.graph_rows(to_documents(first, SURROGATE_SITES))
 
 
 def _stored_graph_rows(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -398,7 +400,7 @@ def graph_persons(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def graph_tweets(spark: SparkSession, folder: str) -> DataFrame:
-    return graph.posts(_graph_rows(spark, folder)).withColumn("tags", _joined(F.col("tags"), ","))
+    return graph.whole_posts(_stored_graph_rows(spark, folder)).withColumn("tags", _joined(F.col("tags"), ","))
 
 
 @query

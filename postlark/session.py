@@ -53,5 +53,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table that several later steps read, so none of them computes it again."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

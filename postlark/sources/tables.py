@@ -91,8 +91,13 @@ def posts_from(events: DataFrame, spark: SparkSession, folder: str) -> DataFrame
     )
 
 
-def posts(spark: SparkSession, folder: str) -> DataFrame:
-    return posts_from(spread(load(spark, folder, "events")), spark, folder)
+def posts(spark: SparkSession, folder: str, only: DataFrame | None = None) -> DataFrame:
+    """The posts of all events, or of those with the id and time of a row of ``only``, where null equals null."""
+    events = spread(load(spark, folder, "events"))
+    if only is not None:
+        at = F.col("ts").cast("timestamp").eqNullSafe(only["created_at"])
+        events = events.join(only, F.col("event_id").eqNullSafe(only["id"]) & at, "left_semi")
+    return posts_from(events, spark, folder)
 
 
 def history(spark: SparkSession, folder: str) -> DataFrame:
