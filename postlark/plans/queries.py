@@ -565,18 +565,18 @@ def stream_score(spark: SparkSession, folder: str) -> DataFrame:
 DAYS_OF_BATCHES = ("2024-01-01", "2024-01-11", "2024-01-21", "2025-01-01")
 
 
-def _by_days(spark: SparkSession, folder: str) -> list[DataFrame]:
-    """All posts in the order of time, in three parts."""
-    every = posts(spark, folder)
+def _days() -> list[Column]:
+    """Which of three parts of the time a post is of."""
     created = F.col("created_at")
-    return [every.filter((created >= _at(a)) & (created < _at(b))) for a, b in zip(DAYS_OF_BATCHES, DAYS_OF_BATCHES[1:])]
+    return [(created >= _at(a)) & (created < _at(b)) for a, b in zip(DAYS_OF_BATCHES, DAYS_OF_BATCHES[1:])]
 
 
 def _fed(spark: SparkSession, folder: str, start) -> str:
     """A store that a streaming job has filled: it is started again for each of three deliveries of messages."""
     inbox, root, checkpoint = (scratch_path(spark, name) for name in ("inbox", "store", "checkpoint"))
     model = _model(spark, folder)
-    for part in _by_days(spark, folder):
+    every = posts(spark, folder)
+    for part in [every.filter(day) for day in _days()]:
         _damaged_messages(part).select("value").dropna().write.mode("append").text(inbox)
         running = start(messages.read_message_files(spark, inbox), model, root, checkpoint, interval=None, sites=SURROGATE_SITES)
         for query_ in running if isinstance(running, list) else [running]:
@@ -607,9 +607,11 @@ def _filled(spark: SparkSession, folder: str) -> str:
     """A store of all posts but repeats, in three batches."""
     root = scratch_path(spark, "store")
     stores.create(spark, root)
-    for batch_id, part in enumerate(_by_days(spark, folder)):
-        keyed = dedup.with_repeat_key(part)
-        stores.append_documents(to_documents(dedup.unseen_posts(keyed, root, batch_id), SURROGATE_SITES), root, batch_id)
+    keyed = dedup.with_repeat_key(posts(spark, folder))
+    keys = stage(keyed.select("id", "created_at", "repeat_key"), "keys")
+    for batch_id, day in enumerate(_days()):
+        fresh = dedup.unseen_derived(partial(posts, spark, folder), keys.filter(day), root, batch_id)
+        stores.append_documents(to_documents(fresh, SURROGATE_SITES), root, batch_id)
     return root
 
 

@@ -11,6 +11,8 @@ compaction, retention and appending streams may run side by side, and a reader s
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -78,7 +80,8 @@ def read_batch(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
 
 def write_batch(df: DataFrame, root: str, name: str, batch_id: int) -> None:
     """Replace the batch's folder."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/{name}/batch_id={batch_id}")
+    written = df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
+    written.parquet(f"{root}/{name}/batch_id={batch_id}")
 
 
 def other_batches(df: DataFrame, batch_id: int) -> DataFrame:
@@ -97,6 +100,22 @@ def append_documents(documents: DataFrame, root: str, batch_id: int) -> Version:
     return versions.commit(spark, root, versions.replacing_batch(batch_id, INDEXED, parts))
 
 
+FILE_BYTES = 128_000_000
+
+
+def _days_merged(spark: SparkSession, root: str, parts: list[Part]) -> DataFrame:
+    """The documents of some parts with few tasks for each day, none of which reads two days: a day's files are read one
+    after the other, so nothing is shuffled."""
+    of_day: dict[str, list[Part]] = {}
+    for part in parts:
+        of_day.setdefault(part.value, []).append(part)
+    days = []
+    for of_value in of_day.values():
+        size = sum(versions.stored_bytes(spark, root, p) for p in of_value)
+        days.append(_documents(spark, root, of_value).coalesce(-(-size // FILE_BYTES) or 1))
+    return reduce(DataFrame.unionByName, days)
+
+
 def compact_documents(spark: SparkSession, root: str, below: int) -> None:
     """Merge the documents of batches below ``below`` (above 0, all of them ended) by day, and their keys.
 
@@ -108,8 +127,8 @@ def compact_documents(spark: SparkSession, root: str, below: int) -> None:
         old = [p for p in now.of(DOCUMENTS) if p.batch < below]
         try:
             if len({p.folder.split("/")[1] for p in old}) > 1:
-                rows = _documents(spark, root, old).withColumn("batch_id", F.lit(-below).cast("bigint"))
-                merged = versions.write_parts(rows.hint("rebalance", "created_date"), root, DOCUMENTS, cut="created_date", batches="batch_id")
+                rows = _days_merged(spark, root, old).withColumn("batch_id", F.lit(-below).cast("bigint"))
+                merged = versions.write_parts(rows, root, DOCUMENTS, cut="created_date", batches="batch_id")
                 versions.commit(spark, root, versions.replacing(old, merged))
             keyindex.compact_keys(spark, root, below)
             return
@@ -150,10 +169,19 @@ def make_folder(spark: SparkSession, folder: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
 
 
+def move_folder(spark: SparkSession, folder: str, target: str) -> bool:
+    """Move a folder to a place where there is none; false where there is no such folder."""
+    place, to = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (folder, target))
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(to.getParent())
+    return files.exists(place) and files.rename(place, to)
+
+
 def append_graph(rows: DataFrame, root: str, batch_id: int) -> None:
     """Add the batch's vertices and edges."""
-    for name, build in (("persons", graph.persons), ("posts", graph.posts), ("tags", graph.tags)):
+    for name, build in (("persons", graph.persons), ("tags", graph.tags)):
         write_batch(build(rows).dropDuplicates([VERTEX_KEYS[name]]), root, name, batch_id)
+    write_batch(graph.whole_posts(rows), root, "posts", batch_id)
     for name, build in (("posted", graph.posted), ("tagged", graph.tagged)):
         write_batch(build(rows), root, name, batch_id)
 

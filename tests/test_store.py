@@ -191,3 +191,12 @@ def test_filters_rarely_err():
     rng = np.random.default_rng(2)
     k = rng.integers(-2**63, 2**63 - 1, (4, 20_000))
     assert keyindex.may_hold(keyindex.make_filter(k[0], k[1]), k[2], k[3]).mean() < 0.01
+
+
+def test_compaction_shuffles_no_documents(spark):
+    root = scratch_path(spark, "store")
+    for n in range(2):
+        batch(spark, root, n, post(10 * n, f"a{n}", minutes=0), post(10 * n + 1, f"b{n}", minutes=3000))
+    rows = stores._days_merged(spark, root, versions.read_version(spark, root).of(stores.DOCUMENTS))
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.rdd.getNumPartitions() == 2 and rows.count() == 4  # a task for each day
