@@ -118,6 +118,16 @@ class NaiveBayesTables:
             .select(*docs.columns, best.alias("prediction"))
         )
 
+    def products(self) -> DataFrame:
+        """(term, c_0, c_1, ...): what an occurrence of the term adds to each class's score."""
+        n = range(len(self.classes))
+        return self.weighted_terms().select("term", *[(F.col("idf") * F.col(f"ll_{i}")).alias(f"c_{i}") for i in n])
+
+    def product_of_unknown(self, i: int) -> Column:
+        """What a term that the model does not know adds to the score of a class."""
+        totals = self._totals()
+        return idf_value(F.lit(0), totals["n_docs"]) * self._log_likelihood(i, F.lit(0.0), totals)
+
     @classmethod
     def load(
         cls, spark: SparkSession, path: str, smoothing: float = SMOOTHING,

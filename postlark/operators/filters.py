@@ -17,9 +17,11 @@ LENGTH_OVER = 80
 def in_language_and_long(
     posts: DataFrame, language: str = LANGUAGE, length_over: int = LENGTH_OVER
 ) -> DataFrame:
-    return posts.filter(
-        (F.col("lang") == language) & longer_than(F.col("text"), length_over)
-    )
+    return posts.filter(is_wanted(F.col("lang"), F.col("text"), language, length_over))
+
+
+def is_wanted(lang: Column, text: Column, language: str = LANGUAGE, length_over: int = LENGTH_OVER) -> Column:
+    return (lang == language) & longer_than(text, length_over)
 
 
 def has_keyword(text: Column, keywords: Sequence[str] = KEYWORDS) -> Column:

@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from postlark.operators.blocks import predict_texts
 from postlark.operators.classify import NaiveBayesTables
 from postlark.operators.dedup import first_arrivals, unseen_posts, with_repeat_key
 from postlark.operators.documents import to_documents
-from postlark.operators.features import term_freq, with_tokens, word_count
-from postlark.operators.filters import accepted, has_keyword, in_language_and_long, score_or_zero
+from postlark.operators.features import with_tokens, word_count
+from postlark.operators.filters import accepted, has_keyword, in_language_and_long, is_wanted, score_or_zero
 from postlark.operators.graph import graph_rows
 from postlark.session import stage
 from postlark.sources import keyindex, stores, versions
@@ -36,35 +37,30 @@ def _trigger(interval: str | None) -> dict:
     return {"processingTime": interval} if interval else {"availableNow": True}
 
 
-def score(posts: DataFrame, model: Model) -> DataFrame:
+def score(posts: DataFrame, model: Model, *keep: str) -> DataFrame:
     """Posts in language and length with their prediction; on tables, in the batches of a stream and, with a pipeline
     model, on streams.
 
     Rows without keyword stay with 0.0 and are given no tokens, so the classifier's work is
-    spent on keyword rows only.
+    spent on keyword rows only. With ``keep``, of the posts' columns these only.
     """
     if isinstance(model, NaiveBayesTables):
-        return score_by_tables(posts, model)
+        return score_by_tables(posts, model, *keep)
     long_posts = in_language_and_long(posts).withColumn("matched", has_keyword(F.col("text")))
     tokenized = with_tokens(long_posts.withColumn("_text", F.when(F.col("matched"), F.col("text"))), "_text")
     tokenized = tokenized.withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
     scored = model.transform(tokenized)
     return scored.withColumn("prediction", score_or_zero(F.col("prediction"), F.col("matched"))).select(
-        *posts.columns, "matched", "prediction"
+        *(keep or posts.columns), "matched", "prediction"
     )
 
 
-def score_by_tables(posts: DataFrame, model: NaiveBayesTables) -> DataFrame:
-    """``score`` with a model of tables, which joins the batch's terms. A prediction hangs on the text alone, so equal texts
-    are scored once, known by their digest."""
-    found = stage(in_language_and_long(posts).withColumns(
-        {"matched": has_keyword(F.col("text")), "_digest": F.md5("text")}), "long_posts")
-    texts = found.filter("matched").select("_digest", "text").dropDuplicates(["_digest"])
-    tokenized = stage(with_tokens(texts).select("_digest", "tokens"), "tokens")
-    predicted = model.predict(term_freq(tokenized, "_digest"), tokenized.select("_digest"), "_digest")
-    scored = found.join(predicted, "_digest", "left")
-    return scored.withColumn("prediction", score_or_zero(F.col("prediction"), F.col("matched"))).select(
-        *posts.columns, "matched", "prediction")
+def score_by_tables(posts: DataFrame, model: NaiveBayesTables, *keep: str) -> DataFrame:
+    """``score`` with a model of tables, which the distinct terms of blocks of posts join; with ``keep``, these columns only."""
+    kept = list(keep) or posts.columns
+    found = in_language_and_long(posts).withColumn("matched", has_keyword(F.col("text")))
+    tokenized = with_tokens(found.withColumn("_text", F.when(F.col("matched"), F.col("text"))), "_text", "_tokens")
+    return predict_texts(tokenized.select(*kept, "matched", "_tokens"), model, "_tokens", "matched")
 
 
 def message_counts() -> list[Column]:
@@ -94,10 +90,13 @@ def store_batch(
 ) -> None:
     """Decode, score, drop repeats of the batch and of the stored documents, store the rest and the batch's counts.
 
-    The messages are decoded once, and counted while they are; what the batch costs follows the batch, not the store.
+    The messages are decoded once, and counted while they are; of these, undecodable ones and posts in language and length are
+    written. What the batch costs follows the batch, not the store.
     """
     seen = Observation()
-    decoded = stage(decode_messages(batch).observe(seen, *message_counts()), "decoded")
+    post = F.col("post")
+    found = decode_messages(batch).observe(seen, *message_counts()).filter(post.isNull() | is_wanted(post["lang"], post["text"]))
+    decoded = stage(found.withColumn("value", F.when(post.isNull(), F.col("value"))), "decoded")
     write_rejects(rejected_messages(decoded), root, batch_id)
     wanted = accepted(score(valid_posts(decoded), model))
     store_new(unseen_posts(with_repeat_key(wanted), root, batch_id), batch_id, root, sites)
@@ -233,7 +232,7 @@ def run_to_files(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
 
 def run_scores(posts: DataFrame, model: Model, path: str, checkpoint: str) -> DataFrame:
     """Score a stream of posts over what is there now, batch by batch, and read the scores; batch_id says in which."""
-    return _run_batches(posts, lambda batch: score(batch, model).select("id", "matched", "prediction"), path, checkpoint)
+    return _run_batches(posts, lambda batch: score(batch, model, "id"), path, checkpoint)
 
 
 def run_batch_counts(texts: DataFrame, path: str, checkpoint: str) -> DataFrame:

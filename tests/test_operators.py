@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from postlark.functions.text import one_line
 from postlark.operators import cadence as bots
-from postlark.operators import classify, dedup, documents, enrich, features, filters, graph
+from postlark.operators import blocks, classify, dedup, documents, enrich, features, filters, graph
 from postlark.operators.joins import count_rows, hot_keys, lookup
+from postlark.session import scratch_path
 from postlark.sources.messages import POST_SCHEMA
 
 START = datetime(2024, 1, 1)
@@ -444,3 +445,56 @@ def test_recommendation_with_a_tag_in_every_post(spark, heavy):
     for r in graph.recommend(table, heavy=heavy).orderBy("person_id", "rank").collect():
         got.setdefault(r.person_id, []).append((r.post_id, r.shared))
     assert got == wanted
+
+
+def deriving(every):
+    """All posts, or those with the times and ids of a table's rows."""
+    return lambda only: every if only is None else every.join(only, dedup.same(every, only, ["created_at", "id"]), "left_semi")
+
+
+def test_first_arrivals_of_derived_posts(spark):
+    """Posts derived again for the rows that are first: rows that come twice, ids with several texts, nulls."""
+    rows = [post(1, "a"), post(1, "a"), post(2, "b http://t.co/1"), post(2, "c"), post(3, "c"), post(None, "n", minutes=4), post(None, "n", minutes=4),
+            post(5, None), post(6, None), post(7, "x http://t.co/1"), post(None, "m", minutes=9)]
+    every = posts(spark, *rows)
+    plain = lambda df: sorted((r.repeat_key or "", r.id or -1, r.text or "") for r in df.collect())
+    expected = plain(dedup.first_arrivals(every))
+    assert plain(dedup.first_derived(deriving(every))) == expected and len(expected) == 6
+    root = scratch_path(spark, "store")
+    keyed = dedup.with_repeat_key(every)
+    keys = keyed.select("id", "created_at", "repeat_key")
+    assert plain(dedup.unseen_derived(deriving(every), keys, root)) == plain(dedup.unseen_posts(keyed, root)) == expected
+
+
+def test_texts_are_not_shuffled_for_their_keys(spark):
+    asked = []
+
+    def derive(only):
+        asked.append(only)
+        return deriving(posts(spark, *[post(i, f"text {i % 7}") for i in range(20)]))(only)
+
+    plan = dedup.first_derived(derive)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and asked[0] is None and sorted(r.id for r in asked[1].collect()) == list(range(7))
+
+
+def test_vertices_that_stand_twice(spark):
+    rows = graph_of(spark, post(1, "a #t"), post(1, "a #t"), post(2, "b"), post(3, None))
+    found = sorted(map(str, graph.whole_posts(rows).select(*sorted(graph.posts(rows).columns)).collect()))
+    assert found == sorted(map(str, graph.posts(rows).select(*sorted(graph.posts(rows).columns)).collect())) and len(found) == 3
+    once = graph.whole_posts(graph_of(spark, post(1, "a #t"), post(2, "b")))
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+    slim = graph.posts(rows).select("id", "post_key")._jdf.queryExecution().optimizedPlan().toString()
+    assert "first(text" not in slim
+
+
+@pytest.mark.parametrize("block_tokens", [3, 1_000_000])
+def test_blocks_predict_as_tables_do(spark, tmp_path, block_tokens):
+    docs = features.with_tokens(spark.createDataFrame(CORPUS, "id bigint, text string, label double"))
+    model = classify.train_tables(docs, str(tmp_path / "tables"))
+    texts = [t for _, t, _ in CORPUS] + ["never seen words", "", " ", "apply apply apply"]
+    asked = features.with_tokens(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id bigint, text string"))
+    expected = {r.id: r.prediction for r in model.predict(features.term_freq(asked, "id"), asked.select("id"), "id").collect()}
+    marked = asked.select("id", "tokens", (F.col("id") != 1).alias("wanted"))
+    found = blocks.predict_texts(marked, model, "tokens", "wanted", block_tokens)
+    assert found.columns == ["id", "wanted", "prediction"]
+    assert {r.id: r.prediction for r in found.collect()} == expected | {1: 0.0} and len(set(expected.values())) == 2
