@@ -458,7 +458,7 @@ def _damaged(spark: SparkSession, folder: str) -> DataFrame:
     return _damaged_messages(posts(spark, folder))
 
 
-def _damaged_messages(every: DataFrame) -> DataFrame:
+def _damaged_messages(every: DataFrame, *keep: str) -> DataFrame:
     fields = F.struct(*messages.POST_FIELDS)
     kind = F.col("favorites") % 7
     value = (
@@ -466,7 +466,7 @@ def _damaged_messages(every: DataFrame) -> DataFrame:
         .when(kind == 1, F.base64(F.lit("{bad").cast("binary")))
         .when(kind != 2, messages.encode_post(fields))
     )
-    return every.select(F.col("id").alias("message"), value.alias("value"))
+    return every.select(F.col("id").alias("message"), value.alias("value"), *keep)
 
 
 @query
@@ -571,14 +571,31 @@ def _days() -> list[Column]:
     return [(created >= _at(a)) & (created < _at(b)) for a, b in zip(DAYS_OF_BATCHES, DAYS_OF_BATCHES[1:])]
 
 
+def _deliver(spark: SparkSession, every: DataFrame) -> str:
+    """Messages of all posts, written once and packed, as one folder for each part of the time."""
+    path, days = scratch_path(spark, "deliveries"), _days()
+    delivery = F.coalesce(*[F.when(day, F.lit(n)) for n, day in enumerate(days)])
+    dealt = _damaged_messages(every.withColumn("delivery", delivery).dropna(subset=["delivery"]), "delivery")
+    limit = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, str(len(days)))  # a file for each part is open, so messages are not sorted by it
+    try:
+        dealt.select("delivery", "value").dropna().write.partitionBy("delivery").option("compression", "gzip").text(path)
+    finally:
+        spark.conf.set(limit, before)
+    return path
+
+
 def _fed(spark: SparkSession, folder: str, start) -> str:
     """A store that a streaming job has filled: it is started again for each of three deliveries of messages."""
     inbox, root, checkpoint = (scratch_path(spark, name) for name in ("inbox", "store", "checkpoint"))
     model = _model(spark, folder)
-    every = posts(spark, folder)
-    for part in [every.filter(day) for day in _days()]:
-        _damaged_messages(part).select("value").dropna().write.mode("append").text(inbox)
-        running = start(messages.read_message_files(spark, inbox), model, root, checkpoint, interval=None, sites=SURROGATE_SITES)
+    deliveries = _deliver(spark, posts(spark, folder))
+    for n in range(len(_days())):
+        if not stores.move_folder(spark, f"{deliveries}/delivery={n}", f"{inbox}/{n}"):
+            spark.createDataFrame([], "value string").write.text(f"{inbox}/{n}")
+        arriving = messages.read_message_files(spark, inbox, recursiveFileLookup="true")
+        running = start(arriving, model, root, checkpoint, interval=None, sites=SURROGATE_SITES)
         for query_ in running if isinstance(running, list) else [running]:
             query_.awaitTermination()
     return root

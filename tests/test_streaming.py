@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from postlark.operators import classify, dedup, features
 from postlark.plans import jobs
-from postlark.session import scratch_path
+from postlark.session import scratch_path, stage
 from postlark.sources import messages, stores
 from postlark.streaming import jobs as streams
 from test_operators import CORPUS, post, posts
@@ -224,3 +224,27 @@ def test_late_posts_are_kept(spark, tmp_path):
     kept = streams.run_to_files(
         streams.without_repeats(posts).select("id", "text"), str(tmp_path / "kept"), str(tmp_path / "checkpoint"))
     assert sorted(r.text for r in kept.collect()) == ["a", "b", "c"]
+
+
+def test_deliveries_are_written_once_and_packed(spark):
+    from datetime import datetime
+
+    from postlark.plans import queries
+
+    every = posts(spark, *[post(n, f"job {n}") for n in range(4)]).withColumn("favorites", F.lit(3).cast("bigint"))
+    days = [datetime(2024, 1, 5), datetime(2024, 1, 15), datetime(2023, 1, 1), None]
+    dated = every.drop("created_at").join(spark.createDataFrame(list(enumerate(days)), "id bigint, created_at timestamp"), "id")
+    path = queries._deliver(spark, dated.select(*every.columns))
+    files = [f for _, _, names in os.walk(path) for f in names if f.startswith("part-")]
+    assert files and all(f.endswith(".gz") for f in files)
+    assert [spark.read.text(f"{path}/delivery={n}").count() for n in (0, 1)] == [1, 1]
+    assert not stores.move_folder(spark, f"{path}/delivery=2", f"{path}/moved/2")
+
+
+def test_a_store_batch_writes_no_message_that_it_decoded(spark, arriving, inbox, model, monkeypatch):
+    """Of decoded messages only undecodable ones and posts in language and length are written, the latter without their message."""
+    written = []
+    monkeypatch.setattr(streams, "stage", lambda df, name: written.append((name, df)) or stage(df, name))
+    streams.store_batch(spark.read.text(inbox), 0, scratch_path(spark, "store"), model)
+    decoded = dict(written)["decoded"].collect()
+    assert {r.value for r in decoded} == {None, "!!!notb64"} and "short job" not in {r.post.text for r in decoded if r.post}
