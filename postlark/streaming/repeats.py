@@ -38,10 +38,9 @@ class FirstOfKey(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         best = None
-        for part in rows:
-            first = part.sort_values(["created_at", "id", "file"], na_position="last").iloc[:1]
-            both = first if best is None else pd.concat([best, first])
-            best = both.sort_values(["created_at", "id", "file"], na_position="last").iloc[:1]
+        for part in rows:  # most keys have one row, which needs no sorting
+            both = part if best is None else pd.concat([best, part])
+            best = both if len(both) == 1 else both.sort_values(["created_at", "id", "file"], na_position="last").iloc[:1]
         arrived = int(best["arrived_ms"].iloc[0])
         until = self.until.get()
         if until is None or until[0] <= arrived:
