@@ -105,14 +105,14 @@ FILE_BYTES = 128_000_000
 
 def _days_merged(spark: SparkSession, root: str, parts: list[Part]) -> DataFrame:
     """The documents of some parts with few tasks for each day, none of which reads two days: a day's files are read one
-    after the other, so nothing is shuffled."""
+    after the other, so nothing is shuffled. Two tasks at least, since Spark makes one task of a union of single ones."""
     of_day: dict[str, list[Part]] = {}
     for part in parts:
         of_day.setdefault(part.value, []).append(part)
     days = []
     for of_value in of_day.values():
         size = sum(versions.stored_bytes(spark, root, p) for p in of_value)
-        days.append(_documents(spark, root, of_value).coalesce(-(-size // FILE_BYTES) or 1))
+        days.append(_documents(spark, root, of_value).coalesce(max(2, -(-size // FILE_BYTES))))
     return reduce(DataFrame.unionByName, days)
 
 
