@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlark.functions.text import bind
+
 POST_SCHEMA = (
     "id BIGINT, text STRING, lang STRING, created_at TIMESTAMP, source STRING, favorites BIGINT, "
     "place STRING, is_retweet BOOLEAN, retweeted STRUCT<id: BIGINT>, "
@@ -19,14 +21,14 @@ _JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 def encode_post(post: Column) -> Column:
     """Envelope of a post struct, on one line; null stays null."""
     json = F.to_json(post, _JSON_OPTIONS)
-    return F.translate(F.base64(json.cast("binary")), "\r\n", "")
+    return F.replace(F.base64(json.cast("binary")), F.lit("\r\n"), F.lit(""))
 
 
 def decode_post(value: Column, schema: str = POST_SCHEMA) -> Column:
-    """Post struct of an envelope, null when it is no base64, no UTF-8, no JSON or has no id."""
+    """Post struct of an envelope, null when it is no base64, no UTF-8, no JSON or has no id. It is parsed once."""
     payload = F.try_to_binary(value.cast("string"), F.lit("base64"))
     post = F.from_json(F.try_validate_utf8(payload.cast("string")), schema, _JSON_OPTIONS)
-    return F.when(post["id"].isNotNull(), post)
+    return bind(post, lambda p: F.when(p["id"].isNotNull(), p))
 
 
 def encode_posts(posts: DataFrame) -> DataFrame:
@@ -46,6 +48,13 @@ def valid_posts(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col("post").isNotNull()).select("post.*")
 
 
+def decoded_posts(messages: DataFrame) -> DataFrame:
+    """``valid_posts(decode_messages(messages))``, where conditions on the posts do not decode them again: none is moved below
+    the generator."""
+    post = decode_post(F.col("value"))
+    return messages.select(F.inline(F.array_compact(F.array(post))))
+
+
 def rejected_messages(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col("post").isNull()).drop("post")
 

@@ -19,7 +19,7 @@ from postlark.operators.filters import accepted, has_keyword, in_language_and_lo
 from postlark.operators.graph import graph_rows
 from postlark.session import stage
 from postlark.sources import keyindex, stores, versions
-from postlark.sources.messages import decode_messages, rejected_messages, valid_posts
+from postlark.sources.messages import decode_messages, decoded_posts, rejected_messages, valid_posts
 from postlark.sources.sites import AGGREGATOR_SITES
 from postlark.streaming.repeats import SLIM, first_arrivals_by_state
 
@@ -145,7 +145,7 @@ def accept_batch(batch: DataFrame, batch_id: int, accepted_path: str, model: Mod
     spark = batch.sparkSession
     folder = f"{accepted_path}/batch_id={batch_id}"
     if not stores.is_whole(spark, folder):
-        keyed = with_repeat_key(accepted(score(valid_posts(decode_messages(batch)), model)))
+        keyed = with_repeat_key(accepted(score(decoded_posts(batch), model)))
         keyed.select("*", *keyindex.key_hashes(F.col("repeat_key"))).write.mode("overwrite").parquet(folder)
 
 

@@ -1,14 +1,16 @@
 import os
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from postlark.operators import classify, dedup, features
+from postlark.operators import classify, dedup, features, filters
 from postlark.plans import jobs
 from postlark.session import scratch_path, stage
 from postlark.sources import messages, stores
 from postlark.streaming import jobs as streams
+from postlark.streaming import repeats
 from test_operators import CORPUS, post, posts
 
 LONG = " and some more words to get past the length that a post needs to be looked at at all"
@@ -248,3 +250,90 @@ def test_a_store_batch_writes_no_message_that_it_decoded(spark, arriving, inbox,
     streams.store_batch(spark.read.text(inbox), 0, scratch_path(spark, "store"), model)
     decoded = dict(written)["decoded"].collect()
     assert {r.value for r in decoded} == {None, "!!!notb64"} and "short job" not in {r.post.text for r in decoded if r.post}
+
+
+def test_state_is_one_value_for_a_bucket_of_keys(spark, monkeypatch):
+    """What is let through is what a plain version lets through, and the state has no row for each key."""
+    monkeypatch.setattr(repeats, "BUCKETS", 3)
+    inbox, checkpoint, passed, state = scratch_path(spark, "slim"), scratch_path(spark, "ck"), [], []
+    slim = "k1 long, k2 long, created_at timestamp, id long, file string"
+    stored = spark.createDataFrame([(k, k) for k in range(5)], "k1 long, k2 long")
+    rounds = [[(k % 23, None if k % 31 == 3 else 40 - k % 7, k) for k in range(60)], [(k % 40, k % 3, 100 + k) for k in range(60)]]
+    known, expected = set(range(5)), []
+    for rows in rounds:
+        first = {}
+        for key, second, row in sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[2])):
+            first.setdefault(key, row)
+        expected += [row for key, row in first.items() if key not in known]
+        known |= set(first)
+        frame = spark.createDataFrame([(k, k, at, i, "f") for k, at, i in rows], "k1 long, k2 long, s long, id long, file string")
+        frame.select("k1", "k2", F.timestamp_seconds("s").alias("created_at"), "id", "file").repartition(3).write.mode("append").parquet(inbox)
+        found = repeats.first_arrivals_by_state(spark.readStream.schema(slim).parquet(inbox), stored, 10**10, int(time.time() * 1000))
+        query = found.writeStream.foreachBatch(lambda b, _: passed.extend(r.id for r in b.collect())).option(
+            "checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+        state.append(max(p.stateOperators[0].numRowsTotal for p in query.recentProgress))
+    assert sorted(passed) == sorted(expected) and len(passed) == 35
+    assert max(state) < 12  # a value and a timer or two for each of three buckets, with 40 keys
+
+
+def test_timers_of_a_bucket_forget_the_keys_that_ran_out():
+    class Handle:
+        def __init__(self):
+            self.value, self.timers = None, []
+
+        def getValueState(self, *_):  # noqa: N802
+            return self
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+        def clear(self):
+            self.value = None
+
+        def registerTimer(self, at):  # noqa: N802
+            self.timers.append(at)
+
+    class Expired:
+        def __init__(self, at):
+            self.getExpiryTimeInMs = lambda: at  # noqa: N802
+
+    handle, bucket = Handle(), repeats.FirstOfKey(100, 0)
+    bucket.init(handle)
+
+    def arrive(at, *keys):
+        rows = pd.DataFrame([(k, k, pd.Timestamp(n), n, "f", at) for n, k in enumerate(keys)],
+                            columns=["k1", "k2", "created_at", "id", "file", "arrived_ms"])
+        return [k for frame in bucket.handleInputRows((0,), iter([rows]), None) for k in frame["k1"].tolist()]
+
+    assert arrive(10, 1, 2, 1) == [1, 2] and arrive(50, 2, 3) == [3] and handle.timers == [110]
+    list(bucket.handleExpiredTimer((0,), None, Expired(110)))
+    assert handle.timers == [110, 150] and arrive(120, 1, 3) == [1]
+    assert arrive(155, 3) == [3]  # run out, though its timer has not fired
+    list(bucket.handleExpiredTimer((0,), None, Expired(150)))
+    list(bucket.handleExpiredTimer((0,), None, Expired(300)))
+    assert handle.timers[:3] == [110, 150, 220] and handle.value is None
+
+
+def test_messages_are_parsed_once_whatever_is_asked_of_the_posts(spark, inbox):
+    lines = spark.read.text(inbox)
+    once = filters.in_language_and_long(messages.decoded_posts(lines))
+    assert once._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    plain = filters.in_language_and_long(messages.valid_posts(messages.decode_messages(lines)))
+    assert once.schema.simpleString() == plain.schema.simpleString()
+    assert sorted(map(str, once.collect())) == sorted(map(str, plain.collect())) and once.count() == 12
+
+
+def test_messages_that_are_null_are_not_delivered(spark):
+    from postlark.plans import queries
+
+    kinds = [0, 1, 2, 3, 9, 6, None]
+    every = posts(spark, *[post(n, f"job {n}") for n in range(len(kinds))]).drop("favorites").join(
+        spark.createDataFrame(list(enumerate(kinds)), "id bigint, favorites bigint"), "id")
+    path = queries._deliver(spark, every.select(*posts(spark, post(0)).columns))
+    lines = spark.read.text(f"{path}/delivery=0")
+    assert sorted(r.id for r in messages.decoded_posts(lines).select("id").collect()) == [3, 5]
+    assert lines.count() == 4
