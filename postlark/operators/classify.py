@@ -11,6 +11,7 @@ from pyspark.ml.feature import IDF, HashingTF
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlark.operators.blocks import class_counts
 from postlark.operators.features import idf_value, term_freq
 from postlark.operators.joins import lookup
 
@@ -146,8 +147,10 @@ def train_tables(
     classes: Sequence[float] | None = None,
     smoothing: float = SMOOTHING,
     dimension: int | None = None,
+    stemmed: bool = True,
 ) -> NaiveBayesTables:
-    """Train on ``docs`` (label, tokens) into a folder.
+    """Train on ``docs`` (label, tokens) into a folder. Unless ``stemmed`` the tokens are words, and blocks of documents stem
+    their distinct ones.
 
     IDF sees all rows, the classifier the training side. The weight sum of a term in a class is idf(term) times its summed tf, so idf, document
     frequency and class sums come from one aggregation by term: no TF-IDF table is built and
@@ -161,16 +164,15 @@ def train_tables(
     if not classes:
         raise ValueError("no training row has a label")
     n_docs = docs.select(F.count(F.lit(1))).scalar()
+    if stemmed:
+        counts = term_freq(marked, "_class").select(
+            "term", F.lit(1).cast("bigint").alias("df"),
+            *[F.when(F.col("_class") == c, F.col("tf")).alias(f"tf_{i}") for i, c in enumerate(classes)])
+    else:
+        counts = class_counts(marked, "_class", classes, "tokens")
     terms = (
-        term_freq(marked, "_class")
-        .groupBy("term")
-        .agg(
-            F.count(F.lit(1)).alias("df"),
-            *[
-                F.coalesce(F.sum(F.when(F.col("_class") == c, F.col("tf"))), F.lit(0)).alias(f"tf_{i}")
-                for i, c in enumerate(classes)
-            ],
-        )
+        counts.groupBy("term")
+        .agg(F.sum("df").alias("df"), *[F.coalesce(F.sum(f"tf_{i}"), F.lit(0)).alias(f"tf_{i}") for i in range(len(classes))])
         .withColumn("idf", idf_value(F.col("df"), n_docs))
         .select(
             "term", "df", "idf",

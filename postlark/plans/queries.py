@@ -252,9 +252,9 @@ def tfidf(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _model(spark: SparkSession, folder: str) -> classify.NaiveBayesTables:
-    docs = features.with_tokens(labelled_documents(spark, folder))
+    docs = features.with_tokens(labelled_documents(spark, folder), stemmed=False)
     return classify.train_tables(
-        docs, scratch_path(spark, "tables"), training=classify.in_training(F.col("doc_id"))
+        docs, scratch_path(spark, "tables"), training=classify.in_training(F.col("doc_id")), stemmed=False
     )
 
 
@@ -458,9 +458,14 @@ def _damaged(spark: SparkSession, folder: str) -> DataFrame:
     return _damaged_messages(posts(spark, folder))
 
 
+def _kind() -> Column:
+    """What becomes of a post's message: damaged in two ways, null with 2 or without a kind, and else whole."""
+    return F.col("favorites") % 7
+
+
 def _damaged_messages(every: DataFrame, *keep: str) -> DataFrame:
     fields = F.struct(*messages.POST_FIELDS)
-    kind = F.col("favorites") % 7
+    kind = _kind()
     value = (
         F.when(kind == 0, "!!!notb64")
         .when(kind == 1, F.base64(F.lit("{bad").cast("binary")))
@@ -572,15 +577,18 @@ def _days() -> list[Column]:
 
 
 def _deliver(spark: SparkSession, every: DataFrame) -> str:
-    """Messages of all posts, written once and packed, as one folder for each part of the time."""
+    """Messages of all posts, written once and packed, as one folder for each part of the time. Posts whose message is null are
+    left out by their kind, so that no message is made twice."""
     path, days = scratch_path(spark, "deliveries"), _days()
     delivery = F.coalesce(*[F.when(day, F.lit(n)) for n, day in enumerate(days)])
-    dealt = _damaged_messages(every.withColumn("delivery", delivery).dropna(subset=["delivery"]), "delivery")
+    sent = every.withColumn("delivery", delivery).filter(F.col("delivery").isNotNull() & F.coalesce(_kind() != 2, F.lit(False)))
+    dealt = _damaged_messages(sent, "delivery").select("delivery", "value")
     limit = "spark.sql.maxConcurrentOutputFileWriters"
     before = spark.conf.get(limit)
     spark.conf.set(limit, str(len(days)))  # a file for each part is open, so messages are not sorted by it
     try:
-        dealt.select("delivery", "value").dropna().write.partitionBy("delivery").option("compression", "gzip").text(path)
+        packed = dealt.write.partitionBy("delivery").options(**{"compression": "gzip", "zlib.compress.level": "FOUR"})
+        packed.text(path)
     finally:
         spark.conf.set(limit, before)
     return path

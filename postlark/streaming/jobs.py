@@ -59,8 +59,8 @@ def score_by_tables(posts: DataFrame, model: NaiveBayesTables, *keep: str) -> Da
     """``score`` with a model of tables, which the distinct terms of blocks of posts join; with ``keep``, these columns only."""
     kept = list(keep) or posts.columns
     found = in_language_and_long(posts).withColumn("matched", has_keyword(F.col("text")))
-    tokenized = with_tokens(found.withColumn("_text", F.when(F.col("matched"), F.col("text"))), "_text", "_tokens")
-    return predict_texts(tokenized.select(*kept, "matched", "_tokens"), model, "_tokens", "matched")
+    words = with_tokens(found.withColumn("_text", F.when(F.col("matched"), F.col("text"))), "_text", "_words", stemmed=False)
+    return predict_texts(words.select(*kept, "matched", "_words"), model, "_words", "matched", stemmed=False)
 
 
 def message_counts() -> list[Column]:

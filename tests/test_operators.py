@@ -498,3 +498,31 @@ def test_blocks_predict_as_tables_do(spark, tmp_path, block_tokens):
     found = blocks.predict_texts(marked, model, "tokens", "wanted", block_tokens)
     assert found.columns == ["id", "wanted", "prediction"]
     assert {r.id: r.prediction for r in found.collect()} == expected | {1: 0.0} and len(set(expected.values())) == 2
+
+
+@pytest.mark.parametrize("block_tokens", [3, 1_000_000])
+def test_blocks_stem_their_distinct_words_only(spark, tmp_path, block_tokens):
+    """Words that are stemmed block by block give the model and the predictions that stemmed tokens give."""
+    frame = spark.createDataFrame([*CORPUS, (90, "jobs job JOB apply applied applying", None), (91, None, 1.0)], "id bigint, text string, label double")
+    stems, words = features.with_tokens(frame), features.with_tokens(frame, stemmed=False)
+    counted = blocks.class_counts(words, "label", (0.0, 1.0), "tokens", block_tokens)
+    found = {r.term: (r.df, r.a, r.b) for r in counted.groupBy("term").agg(
+        F.sum("df").alias("df"), F.sum("tf_0").alias("a"), F.sum("tf_1").alias("b")).collect()}
+    plain = {}
+    for r in features.term_freq(stems, "label").collect():
+        df, a, b = plain.get(r.term, (0, 0, 0))
+        plain[r.term] = (df + 1, a + r.tf * (r.label == 0.0), b + r.tf * (r.label == 1.0))
+    assert found == plain and found["job"][0] >= 1
+    assert "transform(tokens" not in counted._jdf.queryExecution().optimizedPlan().toString()  # stems are not made of each text's tokens
+    side = F.col("id") % 4 != 3
+    one = classify.train_tables(stems, str(tmp_path / "one"), training=side)
+    two = classify.train_tables(words, str(tmp_path / "two"), training=side, stemmed=False)
+    for name in ("priors", "totals", "terms"):
+        left, right = getattr(one, name), getattr(two, name)
+        assert left.schema.simpleString() == right.schema.simpleString()
+        assert sorted(map(str, left.collect())) == sorted(map(str, right.collect()))
+    predicted = [
+        {r.id: r.prediction for r in blocks.predict_texts(
+            docs.select("id", "tokens", (F.col("id") != 1).alias("wanted")), one, "tokens", "wanted", block_tokens, stemmed).collect()}
+        for docs, stemmed in ((stems, True), (words, False))]
+    assert predicted[0] == predicted[1] and len(predicted[0]) == frame.count()
