@@ -155,7 +155,9 @@ def _counter(n_classes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
                 terms = stem_of[np.frombuffer(ids, _width(len(stem_of)))]
                 sizes = np.frombuffer(sizes, np.int64)
                 rows = np.repeat(np.arange(len(sizes)), sizes)
-                df = np.bincount(np.unique(rows * n + terms) % max(1, n), minlength=n)
+                pairs = np.sort(rows * n + terms)  # much faster than np.unique
+                once = np.append(True, pairs[1:] != pairs[:-1])[:len(pairs)]
+                df = np.bincount(pairs[once] % max(1, n), minlength=n)
                 kind_of = np.frombuffer(kinds, np.int32)[rows]
                 tf = [np.bincount(terms[kind_of == c], minlength=n) for c in range(n_classes)]
                 yield pa.RecordBatch.from_arrays(
