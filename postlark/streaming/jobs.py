@@ -146,7 +146,8 @@ def accept_batch(batch: DataFrame, batch_id: int, accepted_path: str, model: Mod
     folder = f"{accepted_path}/batch_id={batch_id}"
     if not stores.is_whole(spark, folder):
         keyed = with_repeat_key(accepted(score(decoded_posts(batch), model)))
-        keyed.select("*", *keyindex.key_hashes(F.col("repeat_key"))).write.mode("overwrite").parquet(folder)
+        hashed = keyed.select("*", *keyindex.key_hashes(F.col("repeat_key")))
+        hashed.write.mode("overwrite").option("compression", "zstd").parquet(folder)
 
 
 def store_winners(winners: DataFrame, batch_id: int, root: str, sites: Sequence[str] = AGGREGATOR_SITES) -> None:
